@@ -226,28 +226,38 @@ def with_violations(
     return opened.withColumn("violations", violations)
 
 
+def _emit(validated: DataFrame, columns: list[Column], keep: Column, otherwise: Column | None = None) -> DataFrame:
+    """Rows where ``keep`` holds, shaped as ``columns``.
+
+    Written as a generator of no or one row instead of a filter: a filter on the violations would be
+    pushed below the parsing steps and parse every message again.
+    """
+    row = F.when(keep, F.array(F.struct(*columns)))
+    return validated.select(F.inline(row if otherwise is None else row.otherwise(otherwise)))
+
+
+def _log_columns(ingest_time: Column | None) -> list[Column]:
+    moment = (ingest_time if ingest_time is not None else F.current_timestamp()).cast("timestamp")
+    return [moment.alias(c) if c == "ingest_time" else F.col(c) for c in LOG_SCHEMA.names]
+
+
 def accepted(validated: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """Valid rows in log shape."""
-    stamped = validated.filter(F.size("violations") == 0).withColumn(
-        "ingest_time", (ingest_time if ingest_time is not None else F.current_timestamp()).cast("timestamp")
-    )
-    return stamped.select(*LOG_SCHEMA.names)
+    return _emit(validated, _log_columns(ingest_time), F.size("violations") == 0)
 
 
 def rejected(validated: DataFrame) -> DataFrame:
     """Invalid rows with their messages and the raw text."""
-    return validated.filter(F.size("violations") > 0).select(
-        "event_uid", "entity", "kafka_topic", "kafka_partition", "kafka_offset", "violations",
-        F.col("_value").alias("raw_value"),
-    )
+    names = ["event_uid", "entity", "kafka_topic", "kafka_partition", "kafka_offset", "violations"]
+    columns = [*[F.col(n) for n in names], F.col("_value").alias("raw_value")]
+    return _emit(validated, columns, F.size("violations") > 0)
 
 
-def fail_fast(validated: DataFrame) -> DataFrame:
-    """Stop the query at the first invalid row, naming it."""
-    message = F.concat(F.lit("contract violation in "), F.col("event_uid"), F.lit(": "),
-                       F.array_join("violations", "; "))
-    checked = F.when(F.size("violations") > 0, F.raise_error(message)).otherwise(F.col("violations"))
-    return validated.withColumn("violations", checked)
+def fail_fast(validated: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Rows in log shape; the first invalid one stops the query with its id and broken rules."""
+    reasons = F.array_join("violations", "; ")
+    stop = F.raise_error(F.concat(F.lit("contract violation in "), F.col("event_uid"), F.lit(": "), reasons))
+    return _emit(validated, _log_columns(ingest_time), F.size("violations") == 0, stop)
 
 
 def to_log(
@@ -260,7 +270,7 @@ def to_log(
     """Messages to log rows. ``on_violation``: ``fail`` stops the query, ``drop`` keeps valid rows."""
     validated = with_violations(open_envelope(messages, contracts, routes), contracts)
     if on_violation == "fail":
-        validated = fail_fast(validated)
-    elif on_violation != "drop":
-        raise ValueError(f"on_violation must be 'fail' or 'drop', got {on_violation!r}")
-    return accepted(validated, ingest_time)
+        return fail_fast(validated, ingest_time)
+    if on_violation == "drop":
+        return accepted(validated, ingest_time)
+    raise ValueError(f"on_violation must be 'fail' or 'drop', got {on_violation!r}")
