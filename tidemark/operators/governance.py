@@ -108,10 +108,9 @@ def event_rate(df: DataFrame, column: str, window: str, group_by: Sequence[str]
 
 def payload_profile(df: DataFrame, payload: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Fields seen in JSON payloads of a whole table, with how often they are null or castable."""
-    text = F.get_json_object(F.col(payload), F.concat(F.lit("$."), F.col("field")))
+    entries = F.from_json(F.col(payload), "map<string,string>")
     return (
-        df.select(*group_by, payload, F.explode(F.json_object_keys(payload)).alias("field"))
-        .withColumn("_text", text)
+        df.select(*group_by, F.explode(entries).alias("field", "_text"))
         .groupBy(*group_by, "field")
         .agg(
             F.count(F.lit(1)).alias("seen"),
