@@ -18,13 +18,16 @@ def within_n_stdevs(
 ) -> DataFrame:
     """Groups whose total lies more than ``sigma_threshold`` standard deviations from the mean total."""
     totals = df.groupBy(*group_by).agg(F.sum(column).alias(column))
-    # one-row statistics joined back, instead of an unpartitioned window
+    # one-row statistics as a scalar subquery, instead of an unpartitioned window
     stats = totals.agg(
-        F.avg(column).alias(f"{column}_average"), F.stddev_samp(column).alias(f"{column}_stddev")
+        F.struct(
+            F.avg(column).alias(f"{column}_average"), F.stddev_samp(column).alias(f"{column}_stddev")
+        )
     )
     sigma = F.try_divide(F.col(column) - F.col(f"{column}_average"), F.col(f"{column}_stddev"))
     return (
-        totals.crossJoin(F.broadcast(stats))
+        totals.withColumn("_stats", stats.scalar())
+        .select(*totals.columns, "_stats.*")
         .withColumn(f"{column}_sigma", sigma)
         .filter(F.abs(F.col(f"{column}_sigma")) > sigma_threshold)
     )
@@ -110,13 +113,14 @@ def data_for_every_n_datepart(
         F.date_trunc(datepart, low).alias("_start"), high.cast("timestamp").alias("_end")
     )
     # the spine grows with the calendar, not with the rows
+    origin = span.select("_start").scalar()
     step = F.expr(f"INTERVAL {int(interval)} {datepart}")
     spine = span.select(F.explode(F.sequence("_start", "_end", step)).alias(name))
 
     day = F.date_trunc(datepart, F.col("_ts"))
     if interval > 1:
         # move each row back to the start of its bucket
-        rows = rows.crossJoin(F.broadcast(span))
+        rows = rows.withColumn("_start", origin)
         offset = F.pmod(period_diff("_start", "_ts", datepart), F.lit(interval))
         day = F.timestamp_add(datepart.upper(), (-offset).cast("int"), day)
     filled = rows.groupBy(day.alias(name)).agg(F.count(F.lit(1)).alias("row_cnt"))

@@ -124,8 +124,10 @@ def equal_expression(
 
     a = side(df, left_keys, expression, row_condition, "expression")
     b = side(other, right_keys, other_expr, other_cond, "compare_expression")
-    # without groups each side is one row
-    both = a.join(b, left_keys, "full_outer") if left_keys else a.crossJoin(b)
+    if left_keys:
+        both = a.join(b, left_keys, "full_outer")
+    else:  # each side is one row
+        both = a.withColumn("compare_expression", b.scalar())
     gap = F.abs(
         F.coalesce(F.col("expression"), F.lit(0)) - F.coalesce(F.col("compare_expression"), F.lit(0))
     )

@@ -160,7 +160,7 @@ def profile_against_contract(profile: DataFrame, contract: Contract) -> DataFram
         .when(~F.col("nullable") & (F.col("nulls") > 0), "null_not_allowed")
     )
     return (
-        profile.join(F.broadcast(declared), "field", "full_outer")
+        profile.join(declared, "field", "full_outer")
         .withColumn("issue", issue)
         .filter(F.col("issue").isNotNull())
         .select("field", "declared_type", "seen", "nulls", "issue")

@@ -19,6 +19,7 @@ __all__ = [
     "typed_changes",
     "merge_changes",
     "merge_rows",
+    "last_changes",
     "live_rows",
     "delete_by_keys",
     "fold_log",
@@ -157,6 +158,14 @@ def merge_changes(target: DataFrame, changes: DataFrame, spec: EntitySpec) -> Da
     return merge_rows(target, changes, spec.key, newer)
 
 
+def last_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
+    """One typed change per key: the one with the highest ordering key."""
+    newest = Window.partitionBy(*spec.key).orderBy(
+        F.desc("_bronze_ordering_key"), F.desc("_bronze_event_uid")
+    )
+    return changes.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
+
+
 def live_rows(stored: DataFrame) -> DataFrame:
     """Rows as readers see them: no tombstones."""
     return stored.filter(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")

@@ -81,8 +81,8 @@ def users_in_segment(segments: DataFrame, segment: str, day=None, limit: int = 1
     if day is not None:
         rows = rows.filter(F.col("segment_date") == F.lit(day).cast("date"))
     else:
-        newest = segments.agg(F.max("segment_date").alias("segment_date"))
-        rows = rows.join(F.broadcast(newest), "segment_date", "left_semi")
+        newest = segments.agg(F.max("segment_date"))
+        rows = rows.filter(F.col("segment_date") == newest.scalar())
     return rows.orderBy(F.desc("last_90d_gmv"), F.asc("user_id")).limit(limit)
 
 
@@ -189,12 +189,8 @@ def kpi_day_coverage(kpis: DataFrame, orders: DataFrame, as_of: Column, days: in
     )
     day = F.to_date("order_ts")
     # the filter stays on the raw column, so it reaches the scan
-    sold = orders.filter(F.col("order_ts") >= start.cast("timestamp")).agg(
-        F.countDistinct(day).alias("_days")
-    )
-    return built.crossJoin(sold).select(
-        "partition_count", (F.col("partition_count") - F.col("_days")).alias("missing_partitions")
-    )
+    sold = orders.filter(F.col("order_ts") >= start.cast("timestamp")).agg(F.countDistinct(day))
+    return built.withColumn("missing_partitions", F.col("partition_count") - sold.scalar())
 
 
 def completeness_range(kpis: DataFrame, as_of: Column, days: int = 7) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.keys import row_checksum
 from tidemark.operators.envelope import LOG_SCHEMA
-from tidemark.operators.merge import EntitySpec, live_rows, merge_changes
+from tidemark.operators.merge import EntitySpec, last_changes, live_rows, merge_changes
 
 __all__ = [
     "read_table",
@@ -56,11 +56,15 @@ def empty_entity(spark: SparkSession, spec: EntitySpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class EntityStore:
-    """An entity kept as bucketed table versions behind a view.
+    """An entity kept as bucketed table versions behind a view, with a small table of pending changes.
 
     Each version is an ordinary Spark table bucketed and sorted by the entity key, so merging a batch
     shuffles the batch only, never the table. A new version is complete before the view moves to it;
-    readers never see half a write. One writer per entity is assumed.
+    readers never see half a write.
+
+    ``append`` only adds a batch to the pending changes, so its cost follows the batch and not the
+    table; readers fold the pending changes in. ``settle`` merges them into a new version. One writer
+    per entity is assumed.
     """
 
     spark: SparkSession
@@ -76,6 +80,9 @@ class EntityStore:
     def _table(self, version: int) -> str:
         return f"{self.database}.{self.spec.entity}__v{version}"
 
+    def _pending(self, version: int) -> str:
+        return f"{self.database}.{self.spec.entity}__pending_v{version}"
+
     def ensure(self, location: str | None = None) -> EntityStore:
         where = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{where}")
@@ -88,11 +95,17 @@ class EntityStore:
         return int(rows[0]["value"])
 
     def stored(self) -> DataFrame:
-        """Current version with tombstones."""
+        """Current version with tombstones, without pending changes."""
         return self.spark.table(self._table(self.version()))
 
+    def pending(self) -> DataFrame:
+        """Last pending change per key."""
+        changes = self.spark.table(self._pending(self.version()))
+        return last_changes(changes, self.spec)
+
     def read(self) -> DataFrame:
-        return live_rows(self.spark.table(self.view))
+        """Live rows, pending changes included."""
+        return live_rows(self.merged_plan(self.pending()))
 
     def _write(self, df: DataFrame, version: int) -> None:
         (
@@ -102,6 +115,9 @@ class EntityStore:
             .sortBy(*self.spec.key)
             .saveAsTable(self._table(version))
         )
+        empty_entity(self.spark, self.spec).write.format("parquet").mode("overwrite").saveAsTable(
+            self._pending(version)
+        )
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('version' = '{version}') "
             f"AS SELECT * FROM {self._table(version)}"
@@ -112,14 +128,26 @@ class EntityStore:
         version = self.version() + 1
         self._write(df, version)
         if version >= self.keep:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version - self.keep)}")
+            for name in (self._table(version - self.keep), self._pending(version - self.keep)):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         return version
 
+    def append(self, changes: DataFrame) -> None:
+        """Add a batch of typed changes; repeating a batch changes nothing."""
+        changes.select(*self.spec.schema.names).write.mode("append").saveAsTable(
+            self._pending(self.version())
+        )
+
+    def settle(self) -> int:
+        """Merge the pending changes into a new version."""
+        return self.publish(self.merged_plan(self.pending()))
+
     def merge(self, changes: DataFrame) -> int:
-        return self.publish(merge_changes(self.stored(), changes, self.spec))
+        """Append a batch and settle at once."""
+        self.append(changes)
+        return self.settle()
 
     def merged_plan(self, changes: DataFrame) -> DataFrame:
-        """The merge as a plan only, for inspection."""
         return merge_changes(self.stored(), changes, self.spec)
 
 
@@ -145,19 +173,18 @@ def checksum(df: DataFrame, sums: Sequence[str] = (), columns: Sequence[str] | N
 def same_checksum(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Compare two ``checksum`` rows: one boolean per measure and ``all_equal``."""
     measures = [c for c in a.columns if c in b.columns]
-    both = a.select([F.col(c).alias(f"a_{c}") for c in measures]).crossJoin(
-        b.select([F.col(c).alias(f"b_{c}") for c in measures])
-    )
+    other = b.select(F.struct(*measures)).scalar()
+    both = a.select(*measures, other.alias("_other"))
 
     def equal(name: str) -> Column:
-        left, right = F.col(f"a_{name}"), F.col(f"b_{name}")
+        left, right = F.col(name), F.col(f"_other.{name}")
         if not name.startswith("sum_"):
             return left.eqNullSafe(right)
         close = F.abs(left - right) <= tolerance
         return F.coalesce(close, left.isNull() & right.isNull())
 
-    flags = [equal(c).alias(c) for c in measures]
-    return both.select(*flags).withColumn("all_equal", F.array_min(F.array(*measures)))
+    flags = both.select(*[equal(c).alias(c) for c in measures])
+    return flags.withColumn("all_equal", F.array_min(F.array(*measures)))
 
 
 def copy_verified(df: DataFrame, path: str) -> dict[str, int]:

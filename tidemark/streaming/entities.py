@@ -14,7 +14,9 @@ from tidemark.sources.tables import EntityStore
 __all__ = ["apply_batch", "start_entities", "replay"]
 
 
-def apply_batch(log_batch: DataFrame, stores: Mapping[str, EntityStore]) -> None:
+def apply_batch(
+    log_batch: DataFrame, stores: Mapping[str, EntityStore], settle: bool = True
+) -> None:
     """Fold a batch of log rows into the entity tables.
 
     Applying a batch again changes nothing: a row is replaced only by a higher ordering key.
@@ -22,7 +24,9 @@ def apply_batch(log_batch: DataFrame, stores: Mapping[str, EntityStore]) -> None
     applied_at = F.current_timestamp()
     for entity, store in stores.items():
         latest = latest_events(log_batch, entity)
-        store.merge(typed_changes(latest, store.spec, applied_at))
+        store.append(typed_changes(latest, store.spec, applied_at))
+        if settle:
+            store.settle()
 
 
 def start_entities(
@@ -30,10 +34,20 @@ def start_entities(
     stores: Mapping[str, EntityStore],
     checkpoint: str,
     trigger: str | None = None,
+    settle_every: int = 1,
 ) -> StreamingQuery:
+    """Apply each micro-batch as pending changes and settle them every ``settle_every`` batches.
+
+    Between two settlements a batch costs what its own rows cost; readers see it at once.
+    """
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            apply_batch(batch, stores)
+        # the batch is read once per entity
+        batch.persist()
+        try:
+            apply_batch(batch, stores, settle=(batch_id + 1) % settle_every == 0)
+        finally:
+            batch.unpersist()
 
     writer = log_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)

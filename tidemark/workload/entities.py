@@ -30,14 +30,17 @@ def _applied_at():
     return F.lit(I.EVENTS_AS_OF)
 
 
-def change_log(s, d):
-    return E.to_log(I.change_messages(s, d), ingest_time=_applied_at())
+def change_log(s, d, entity=None):
+    messages = I.change_messages(s, d)
+    if entity:
+        messages = messages.filter(F.col("topic") == f"dbserver_docker.public.{entity}")
+    return E.to_log(messages, ingest_time=_applied_at())
 
 
-def merged(s, d, entity, spec=None, log=None):
+def merged(s, d, entity, spec=None):
     """Entity table built by merging the log in two batches."""
     spec = spec or G.ENTITY_SPECS[entity]
-    log = change_log(s, d) if log is None else log
+    log = change_log(s, d, entity)
     split = F.unix_millis(F.lit(MIDDLE).cast("timestamp"))
     early = log.filter(F.col("kafka_timestamp") < split)
     late = log.filter(F.col("kafka_timestamp") >= split)
@@ -123,7 +126,7 @@ for _entity in ("users", "orders", "payments"):
     )
 add(
     "fold_log_tombstones",
-    lambda s, d: G.fold_log(change_log(s, d), G.ENTITY_SPECS["orders"], _applied_at())
+    lambda s, d: G.fold_log(change_log(s, d, "orders"), G.ENTITY_SPECS["orders"], _applied_at())
     .filter("_deleted")
     .select("order_id", "total_amount", "_bronze_ordering_key"),
     with_(
@@ -136,7 +139,7 @@ add(
 
 def _replayed(s, d):
     spec = G.ENTITY_SPECS["orders"]
-    changes = G.fold_log(change_log(s, d), spec, _applied_at())
+    changes = G.fold_log(change_log(s, d, "orders"), spec, _applied_at())
     return G.merge_changes(merged(s, d, "orders"), changes, spec)
 
 
@@ -155,9 +158,9 @@ def _evolved(s, d):
     """A field that appears in the payload halfway and in the stored schema with it."""
     old = G.ENTITY_SPECS["users"]
     new = replace(old, payload=T.StructType([*old.payload.fields, T.StructField("channel", T.StringType())]))
-    log = change_log(s, d)
+    log = change_log(s, d, "users")
     events = I.table(s, d, "events").select(F.col("event_id").alias("kafka_offset"), "event_type")
-    log = log.filter(F.col("entity") == "users").join(events, "kafka_offset")
+    log = log.join(events, "kafka_offset")
     extra = F.concat(F.expr("substring(after, 1, length(after) - 1)"), F.lit(',"channel":"'), F.col("event_type"), F.lit('"}'))
     split = F.unix_millis(F.lit(MIDDLE).cast("timestamp"))
     early = log.filter(F.col("kafka_timestamp") < split)
@@ -279,7 +282,7 @@ def _store_merged(s, d):
     spec = G.ENTITY_SPECS["orders"]
     name = "tidemark_" + scratch_path(s, "x").rsplit("-", 1)[1]
     store = S.EntityStore(s, name, spec, buckets=8).ensure(scratch_path(s, "store"))
-    log = change_log(s, d)
+    log = change_log(s, d, "orders")
     split = F.unix_millis(F.lit(MIDDLE).cast("timestamp"))
     store.merge(G.fold_log(log.filter(F.col("kafka_timestamp") >= split), spec, _applied_at()))
     # older events arrive last and must not win

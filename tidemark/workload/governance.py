@@ -11,7 +11,7 @@ from tidemark.plans import inputs as I
 from tidemark.plans import metrics as K
 from tidemark.session import scratch_path
 from tidemark.sources import writeback as W
-from tidemark.workload.entities import change_log, merged
+from tidemark.workload.entities import change_log
 from tidemark.workload.registry import Registry
 from tidemark.workload.sql import FACTS, KPIS, LOG, SEGMENTS, STAGED, with_
 
@@ -123,7 +123,7 @@ add("payload_profile", lambda s, d: V.payload_profile(I.table(s, d, "events"), "
 
 
 def _payments_profile(s, d):
-    log = change_log(s, d).filter((F.col("entity") == "payments") & F.col("after").isNotNull())
+    log = change_log(s, d, "payments").filter(F.col("after").isNotNull())
     changed = F.regexp_replace(F.regexp_replace("after", '"status"', '"state"'), '"payment_id":([0-9]+)', '"payment_id":"P$1"')
     return V.payload_profile(log.withColumn("after", changed), "after")
 
@@ -139,7 +139,8 @@ add("offset_gaps", lambda s, d: V.offset_gaps(change_log(s, d)),
 
 
 def _reconciled(s, d):
-    stored = {e: G.live_rows(merged(s, d, e)) for e in G.ENTITY_SPECS}
+    at = F.lit(I.EVENTS_AS_OF)
+    stored = {e: G.live_rows(G.fold_log(change_log(s, d, e), spec, at)) for e, spec in G.ENTITY_SPECS.items()}
     stored["payments"] = stored["payments"].filter("amount < 100")
     return V.layer_reconciliation(change_log(s, d), stored)
 
