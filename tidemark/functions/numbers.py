@@ -88,11 +88,10 @@ def decode_decimal(value: ColumnOrName, precision: int = 18, scale: int = 2) ->
     target = f"decimal({precision},{scale})"
     raw = F.try_to_binary(text, F.lit("base64"))
     digits = F.hex(raw)
-    unsigned = F.conv(digits, 16, 10).cast("decimal(20,0)")
-    width = F.length(raw)
     negative = F.substring(digits, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
-    span = F.pow(F.lit(2.0), (width * 8).cast("double")).cast("decimal(20,0)")
-    signed = F.when(negative, unsigned - span).otherwise(unsigned)
+    # extend the sign to 8 bytes, which hold every decimal(18, s)
+    extended = F.when(negative, F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
+    signed = F.conv(extended, 16, -10)
     scaled = signed.cast("decimal(38,0)") / F.lit(10**scale).cast("decimal(38,0)")
-    from_bytes = F.when(width.between(1, 8), scaled.try_cast(target))
+    from_bytes = F.when(F.length(raw).between(1, 8), scaled.try_cast(target))
     return F.coalesce(text.try_cast(target), from_bytes)
