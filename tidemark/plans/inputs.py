@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import marts
+from tidemark.sources.tables import spread
 
 __all__ = [
     "ORDERS_AS_OF",
@@ -145,7 +146,7 @@ def _source(entity: str, with_lsn: bool) -> Column:
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     number = F.get_json_object("props", "$.k").cast("bigint")
     return (
-        table(spark, folder, "events")
+        spread(table(spark, folder, "events"))
         .withColumn("_ts", F.col("ts").cast("timestamp"))
         .withColumn("_op", F.expr("CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END"))
         .withColumn("_amount", F.col("value").cast("decimal(18,2)"))

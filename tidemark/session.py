@@ -22,6 +22,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # checks make many small plans; keep all their generated classes
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
