@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators.joins import left_join_many
 from tidemark.plans import inputs as I
 from tidemark.plans import marts as M
 from tidemark.plans import metrics as K
@@ -111,3 +112,9 @@ def test_kpi_plan_reduces_payments_before_the_join(spark, data):
     assert "CartesianProduct" not in plan and "PythonUDF" not in plan and "NestedLoop" not in plan
     join = plan.split("Join")[1]
     assert "order_id" in join and "HashAggregate" in join
+
+
+def test_left_join_many_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, l string")
+    right = spark.createDataFrame([(2, 1.0), (2, 2.0), (3, None), (9, 5.0), (None, 7.0)], "k int, r double")
+    assert rows(left_join_many(left, right, ["k"])) == rows(left.join(right, ["k"], "left"))

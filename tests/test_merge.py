@@ -9,6 +9,7 @@ from tests.test_envelope import DELETE, ORDERS, changed, messages
 from tidemark.operators import envelope as E
 from tidemark.operators import merge as G
 from tidemark.sources.tables import EntityStore, empty_entity
+from tidemark.streaming.entities import replay
 
 SPEC = G.ENTITY_SPECS["orders"]
 AT = "2026-02-01 00:00:00"
@@ -139,3 +140,15 @@ def test_store_merge_does_not_shuffle_the_table(spark):
     plan = store.merged_plan(fold(log_of(spark, event("u", 1, 500))))._jdf.queryExecution().executedPlan().toString()
     table_side = plan.split("FullOuter")[1].split("Window")[0]
     assert "orders__v1" in plan and "Exchange" not in table_side.split("orders__v1")[0]
+
+
+def test_replay_of_a_window(spark):
+    store = EntityStore(spark, "store_replay", SPEC, buckets=4).ensure()
+    events = random_events(8)
+    log = log_of(spark, *events).persist()
+    at = log.withColumn("ingest_time", F.timestamp_seconds(F.regexp_extract("ordering_key", "lsn_0*([0-9]+)", 1).cast("bigint"))).persist()
+    replay(at, {"orders": store}, start="1970-01-01 00:01:00")
+    replay(at, {"orders": store}, end="1970-01-01 00:01:00")
+    first = amounts(store.stored())
+    replay(at, {"orders": store})
+    assert amounts(store.stored()) == first == expected(events)

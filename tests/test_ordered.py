@@ -54,6 +54,18 @@ def test_quantile_equals_builtin(spark, q):
     assert exact_quantile(df, "v", 0.5).first()[0] == statistics.median(whole)
 
 
+def test_quantile_with_many_cuts(spark):
+    """More cuts than fit one block, and a value that holds a third of the rows."""
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 700.0).otherwise(F.col("id") * 1.0).alias("v")).persist()
+        for q in (0.01, 0.2, 0.37, 0.5, 0.993):
+            want = df.agg(F.percentile("v", q)).first()[0]
+            assert exact_quantile(df, "v", q).first()[0] == pytest.approx(want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_quantile_bounds(spark):
     with pytest.raises(ValueError):
         exact_quantile(spark.range(1), "id", 1.5)

@@ -21,8 +21,19 @@ __all__ = [
 ]
 
 
-def _step(datepart: str) -> Column:
-    return F.expr(f"INTERVAL 1 {datepart}")
+def _steps(span: DataFrame, datepart: str) -> DataFrame:
+    """One row per period between ``_lo`` and ``_hi`` of a one-row relation.
+
+    Periods shorter than a day are made day by day, so that no row carries a long array.
+    """
+    name = f"date_{datepart}"
+    step = F.expr(f"INTERVAL 1 {datepart}")
+    if datepart not in ("second", "minute", "hour"):
+        return span.select(F.explode(F.sequence("_lo", "_hi", step)).alias(name))
+    day = F.expr("INTERVAL 1 DAY")
+    days = span.select("_hi", F.explode(F.sequence("_lo", "_hi", day)).alias("_day"))
+    last = F.least(F.col("_hi"), F.col("_day") + day - step)
+    return days.select(F.explode(F.sequence("_day", last, step)).alias(name))
 
 
 def _moment(value) -> Column:
@@ -31,17 +42,13 @@ def _moment(value) -> Column:
 
 def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
     """All period starts from ``start`` up to and including ``end``."""
-    return spark.range(1).select(
-        F.explode(F.sequence(_moment(start), _moment(end), _step(datepart))).alias(f"date_{datepart}")
-    )
+    return _steps(spark.range(1).select(_moment(start).alias("_lo"), _moment(end).alias("_hi")), datepart)
 
 
 def spine_between(df: DataFrame, column: str, datepart: str = "day") -> DataFrame:
     """Spine over the value range of a column, found by Spark without a driver round trip."""
     moment = F.date_trunc(datepart, F.col(column).cast("timestamp"))
-    return df.agg(F.min(moment).alias("_lo"), F.max(moment).alias("_hi")).select(
-        F.explode(F.sequence("_lo", "_hi", _step(datepart))).alias(f"date_{datepart}")
-    )
+    return _steps(df.agg(F.min(moment).alias("_lo"), F.max(moment).alias("_hi")), datepart)
 
 
 def base_dates(

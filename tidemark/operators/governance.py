@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Contract, constraint_column
@@ -124,9 +124,10 @@ def payload_profile(df: DataFrame, payload: str, group_by: Sequence[str] = ()) -
 
 def observed_fields(profile: DataFrame) -> DataFrame:
     """Field list ``(field, position)`` of a profile, in name order, for the field rules."""
-    # as many rows as there are distinct field names
-    names = profile.agg(F.sort_array(F.collect_set("field")).alias("_names"))
-    return names.select(F.posexplode("_names").alias("position", "field"))
+    by_name = Window.partitionBy(F.lit(0)).orderBy("field")
+    # one row per distinct field name is left before the window
+    names = profile.select("field").distinct()
+    return names.select((F.row_number().over(by_name) - 1).alias("position"), "field")
 
 
 def profile_against_contract(profile: DataFrame, contract: Contract) -> DataFrame:

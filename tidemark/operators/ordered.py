@@ -98,6 +98,22 @@ def adjacent_violations(
     )
 
 
+def _below(value: Column, bounds: Column) -> Column:
+    return F.size(F.filter(bounds, lambda b: b < value))
+
+
+def _bin_of(value: Column, cuts: Sequence[float], block: int = 64) -> Column:
+    """Number of cuts below the value, found in two steps: the block, then the place in it."""
+    if not cuts:
+        return F.lit(0)
+    blocks = [list(cuts[i : i + block]) for i in range(0, len(cuts), block)]
+    if len(blocks) == 1:
+        return _below(value, F.array(*[F.lit(c) for c in cuts]))
+    number = _below(value, F.array(*[F.lit(b[0]) for b in blocks[1:]]))
+    table = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
+    return number * block + _below(value, F.element_at(table, number + 1))
+
+
 def exact_quantile(
     df: DataFrame,
     column: str,
@@ -114,7 +130,7 @@ def exact_quantile(
     if not 0 <= q <= 1:
         raise ValueError(f"q must be in [0, 1], got {q}")
     group = list(group_by)
-    pieces = min(shuffle_width(df.sparkSession), 256)
+    pieces = min(max(4 * shuffle_width(df.sparkSession), 16), 4096)
     value = F.col(column).cast("double")
     counts = (
         df.filter(F.col(column).isNotNull())
@@ -128,10 +144,9 @@ def exact_quantile(
             )
         )
     )
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    binned = counts.withColumn("_bin", F.size(F.filter(bounds, lambda b: b < F.col("_v"))))
+    binned = counts.withColumn("_bin", _bin_of(F.col("_v"), cuts))
 
-    # at most `pieces` rows per group from here on
+    # at most `pieces` rows per group
     totals = binned.groupBy(*group, "_bin").agg(F.sum("_n").alias("_bin_n"))
     by_group = Window.partitionBy(*(group or [F.lit(0)]))
     upto = by_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

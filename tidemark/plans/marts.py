@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import CDC_CONTRACTS
+from tidemark.operators.joins import left_join_many
 from tidemark.operators.reshape import cast_columns
 
 __all__ = [
@@ -158,10 +159,10 @@ def daily_kpis(
     """
     kpi_date = F.to_date("order_ts").alias("kpi_date")
     if not keyed:
-        joined = orders.select(kpi_date, "order_id", "user_id", "total_amount", "paid_amount").join(
+        joined = left_join_many(
+            orders.select(kpi_date, "order_id", "user_id", "total_amount", "paid_amount"),
             payments.select("order_id", "payment_id", "status", "captured_amount", "is_failed"),
-            "order_id",
-            "left",
+            ["order_id"],
         )
         captured_id = F.when(F.col("status") == "captured", F.col("payment_id"))
         daily = joined.groupBy("kpi_date").agg(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import reshape
 from tidemark.operators.governance import mask_pii
+from tidemark.operators.joins import left_join_many
 from tidemark.contracts import CDC_CONTRACTS
 from tidemark.plans import inputs as I
 from tidemark.plans import marts as M
@@ -71,9 +72,11 @@ add(
 add("user_segments", I.segments, with_(SEGMENTS, "SELECT * FROM segments"))
 add(
     "orders_left_payments",
-    lambda s, d: I.fct_orders(s, d)
-    .select("order_id", "total_amount")
-    .join(I.fct_payments(s, d).select("order_id", "payment_id", "amount"), "order_id", "left"),
+    lambda s, d: left_join_many(
+        I.fct_orders(s, d).select("order_id", "total_amount"),
+        I.fct_payments(s, d).select("order_id", "payment_id", "amount"),
+        ["order_id"],
+    ),
     with_(
         FACTS,
         "SELECT o.order_id, o.total_amount, p.payment_id, p.amount FROM fct_orders o "
