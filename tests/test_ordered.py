@@ -40,7 +40,7 @@ def test_no_task_gets_a_hot_group(spark):
     """One group with all rows is still spread over the ranges."""
     df = spark.range(0, 4000).select(F.floor(F.col("id") / 5000).alias("g"), "id")
     plan = Q.values_increasing(df, "id", group_by=["g"])._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(g" in plan and "hashpartitioning(_range" in plan
+    assert "rangepartitioning(g" in plan and "partition_id(_range" in plan and "hashpartitioning(g" not in plan.split("rangepartitioning")[0]
 
 
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.25, 0.5, 0.333, 0.9, 1.0])

@@ -30,6 +30,17 @@ def test_fused_checks_share_one_scan(numbers):
     assert plan.count("Scan") == 1
 
 
+def test_group_checks_share_a_shuffle(numbers):
+    checks = [
+        U.GroupCheck("unique", ("id",), F.count(F.lit(1)), lambda n: n <= 1),
+        U.GroupCheck("positive sum", ("id",), F.sum("v"), lambda v: v > 0),
+    ]
+    summary = U.run_checks(numbers, checks)
+    assert rows(summary) == [("positive sum", 2, "failed"), ("unique", 1, "failed")]
+    plan = summary._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("hashpartitioning(id") == 1
+
+
 def test_gate(spark, numbers):
     duplicates = numbers.groupBy("id").count().filter("count > 1")
     summary = U.run_checks(None, [U.FrameCheck("unique", duplicates), U.FrameCheck("weighted", duplicates, F.sum("count")), U.FrameCheck("empty", numbers.limit(0))])

@@ -79,6 +79,9 @@ def test_bad_message_stops_the_stream(spark, data):
 def test_bus_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         read_bus_stream(spark, "host:9092", "a,b", max_offsets_per_trigger=10)
+    messages = spark.createDataFrame([("1", "{}")], "key string, value string")
+    with pytest.raises(Exception, match="kafka"):
+        W.publish_messages(messages, "host:9092", "segments")
 
 
 @pytest.mark.parametrize("name", ["stream_log_restart", "stream_deduplicated", "stream_entities", "stream_quarantine", "stream_event_rate"])

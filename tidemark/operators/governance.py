@@ -12,7 +12,7 @@ from tidemark.contracts import Contract, constraint_column
 from tidemark.functions.keys import mask_email
 from tidemark.operators.merge import latest_events
 from tidemark.operators.ordered import adjacent_violations
-from tidemark.operators.suite import FrameCheck, RowCheck, run_checks
+from tidemark.operators.suite import GroupCheck, RowCheck, run_checks
 
 __all__ = [
     "contract_checks",
@@ -61,10 +61,9 @@ def contract_checks(df: DataFrame, contract: Contract) -> list:
     for name in missing:
         checks.append(RowCheck(f"{contract.entity}.{name}: missing", F.lit(True)))
     if contract.primary_key and not set(contract.primary_key) & set(missing):
-        duplicates = (
-            df.groupBy(*contract.primary_key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        checks.append(
+            GroupCheck(f"{contract.entity}: unique key", contract.primary_key, F.count(F.lit(1)), lambda n: n <= 1)
         )
-        checks.append(FrameCheck(f"{contract.entity}: unique key", duplicates))
     return checks
 
 

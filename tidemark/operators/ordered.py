@@ -38,9 +38,11 @@ def adjacent_violations(
     keys = list(dict.fromkeys([*group, *order, *carry]))
     tuples = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"))
 
-    ranged = tuples.repartitionByRange(shuffle_width(df.sparkSession), *keys).withColumn(
-        "_range", F.spark_partition_id()
-    )
+    width = shuffle_width(df.sparkSession)
+    ranged = tuples.repartitionByRange(width, *keys).withColumn("_range", F.spark_partition_id())
+    if hasattr(ranged, "repartitionById"):
+        # one range per task; without it ranges are hashed and some tasks get several
+        ranged = ranged.repartitionById(width, F.col("_range"))
     shift = F.lag if direction == "previous" else F.lead
     within = Window.partitionBy("_range").orderBy(*keys)
     packed = F.struct(*keys)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["Severity", "RowCheck", "AggregateCheck", "FrameCheck", "run_checks", "with_severity", "gate_decision"]
+__all__ = ["Severity", "RowCheck", "AggregateCheck", "GroupCheck", "FrameCheck", "run_checks", "with_severity", "gate_decision"]
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,20 @@ class AggregateCheck:
     severity: Severity = field(default_factory=Severity)
 
 
+@dataclass(frozen=True)
+class GroupCheck:
+    """Counts groups whose aggregate breaks the rule; checks with the same grouping share a shuffle.
+
+    ``GroupCheck(name, (key,), F.count(F.lit(1)), lambda n: n <= 1)`` is a uniqueness check.
+    """
+
+    name: str
+    group_by: tuple[str, ...]
+    observed: Column
+    rule: Callable[[Column], Column]
+    severity: Severity = field(default_factory=Severity)
+
+
 @dataclass(frozen=True)
 class FrameCheck:
     """Any relation of violations: joins, key checks, custom checks."""
@@ -54,14 +68,18 @@ def run_checks(df: DataFrame | None, checks: Sequence) -> DataFrame:
     """Summary ``(check_name, failures, status)`` of all checks.
 
     Row and aggregate checks become columns of a single aggregation over ``df``, however many there
-    are; only frame checks add jobs of their own.
+    are; group checks become one aggregation per grouping. Frame checks add jobs of their own.
     """
-    fused = [c for c in checks if not isinstance(c, FrameCheck)]
+    fused = [c for c in checks if isinstance(c, (RowCheck, AggregateCheck))]
     frames = [c for c in checks if isinstance(c, FrameCheck)]
+    grains: dict[tuple[str, ...], list[GroupCheck]] = {}
+    for check in checks:
+        if isinstance(check, GroupCheck):
+            grains.setdefault(tuple(check.group_by), []).append(check)
+    if df is None and (fused or grains):
+        raise ValueError("only frame checks work without a table")
     parts: list[DataFrame] = []
     if fused:
-        if df is None:
-            raise ValueError("row and aggregate checks need a table")
         measures = []
         for i, check in enumerate(fused):
             if isinstance(check, RowCheck):
@@ -77,14 +95,22 @@ def run_checks(df: DataFrame | None, checks: Sequence) -> DataFrame:
                 # an unknown result is no violation
                 value = F.when(~check.rule(value), F.lit(1)).otherwise(F.lit(0))
             entries.append(_entry(check, value))
-        parts.append(row.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*"))
+        parts.append(_entries(row, entries))
+    for grain, members in grains.items():
+        groups = df.groupBy(*grain).agg(*[c.observed.alias(f"m{i}") for i, c in enumerate(members)])
+        row = groups.agg(*[F.count_if(~c.rule(F.col(f"m{i}"))).alias(f"m{i}") for i, c in enumerate(members)])
+        parts.append(_entries(row, [_entry(c, F.col(f"m{i}")) for i, c in enumerate(members)]))
     for check in frames:
         measure = check.measure if check.measure is not None else F.count(F.lit(1))
         counted = check.violations.agg(F.coalesce(measure, F.lit(0)).alias("_n"))
-        parts.append(counted.select(_entry(check, F.col("_n")).alias("_e")).select("_e.*"))
+        parts.append(_entries(counted, [_entry(check, F.col("_n"))]))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _entries(row: DataFrame, entries: list[Column]) -> DataFrame:
+    return row.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+
+
 def _entry(check, failures: Column) -> Column:
     failures = failures.cast("bigint")
     return F.struct(

@@ -16,6 +16,7 @@ __all__ = [
     "upsert_counts",
     "upsert_partitions",
     "segment_messages",
+    "publish_messages",
     "rollback_run",
     "release_entry",
     "append_release",
@@ -105,6 +106,17 @@ def segment_messages(segments: DataFrame, run_id: str, published_at: Column) ->
     return segments.select(F.col("user_id").cast("string").alias("key"), value.alias("value"))
 
 
+def publish_messages(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send keyed messages to the bus; needs Spark's Kafka connector on the class path.
+
+    Rows of one key stay in one task and in date order, so the bus keeps their order.
+    """
+    day = F.get_json_object("value", "$.segment_date")
+    ordered = messages.repartition("key").sortWithinPartitions("key", day)
+    writer = ordered.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    writer.option("topic", topic).option("kafka.enable.idempotence", "true").save()
+
+
 def rollback_run(target: DataFrame, run_id: str) -> DataFrame:
     """Target without the rows that a run wrote."""
     return target.filter(~F.col("source_run_id").eqNullSafe(F.lit(run_id)))

@@ -77,7 +77,8 @@ def _checks(s, d):
         U.RowCheck("few refunds", F.col("status") == "refunded", severity=U.Severity(error_above=10**9, warn_above=10)),
         U.AggregateCheck("mean amount", F.avg("amount"), lambda c: Q.bounds(c, 10000, 40000)),
         U.AggregateCheck("orders paid", F.countDistinct("order_id"), lambda c: c > 0),
-        U.FrameCheck("payment id unique", Q.unique(payments, "payment_id")),
+        U.GroupCheck("payment id unique", ("payment_id",), F.count(F.lit(1)), lambda c: c <= 1),
+        U.GroupCheck("one order per payment", ("payment_id",), F.countDistinct("order_id"), lambda c: c <= 1),
         U.FrameCheck("payments have orders", K.orphan_payments(payments, I.fct_orders(s, d)), F.sum("n_records")),
     ]
 
@@ -89,6 +90,7 @@ _SUITE_SQL = (
     "SELECT 'mean amount', CASE WHEN avg(amount) BETWEEN 10000 AND 40000 THEN 0 ELSE 1 END FROM fct_payments UNION ALL "
     "SELECT 'orders paid', CASE WHEN count(DISTINCT order_id) > 0 THEN 0 ELSE 1 END FROM fct_payments UNION ALL "
     "SELECT 'payment id unique', count(*) FROM (SELECT 1 FROM fct_payments GROUP BY payment_id HAVING count(*) > 1) UNION ALL "
+    "SELECT 'one order per payment', count(*) FROM (SELECT 1 FROM fct_payments GROUP BY payment_id HAVING count(DISTINCT order_id) > 1) UNION ALL "
     "SELECT 'payments have orders', count(*) FROM fct_payments WHERE order_id NOT IN (SELECT order_id FROM fct_orders)), "
     "judged AS (SELECT check_name, failures, CASE WHEN check_name = 'few refunds' AND failures > 10 THEN 'warn' WHEN failures > 0 THEN 'failed' ELSE 'passed' END AS status FROM suite)"
 )
