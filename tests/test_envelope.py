@@ -62,6 +62,8 @@ def test_insert_and_delete(spark):
         ({"lsn": "77"}, {"user_id": 1}, "lsn_00000000000000000077"),
         ({}, {"user_id": 1, "updated_at": "2026-01-15T12:00:00.123456789Z"}, "ts_2026-01-15T12:00:00.123456"),
         ({"lsn": None}, {"user_id": 1, "updated_at": 1736942400000}, "ts_00000001736942400000"),
+        ({}, {"user_id": 1, "updated_at": 1736942400000123457}, "ts_01736942400000123457"),
+        ({}, {"user_id": 1, "updated_at": 1736942400000.75}, "ts_00000001736942400000"),
         ({"lsn": "no"}, {"user_id": 1, "updated_at": "1736942400000"}, "ts_1736942400000"),
         ({}, {"user_id": 1}, "ts_0"),
     ],

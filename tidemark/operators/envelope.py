@@ -66,7 +66,7 @@ def ordering_key(source: Column, after: Column, partition: Column, offset: Colum
     # only a JSON number is padded; the type is looked up only where there is no log position
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(after), "$.updated_at", "variant"))
     is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    whole = updated.try_cast("double").cast("bigint")
+    whole = F.coalesce(updated.try_cast("bigint"), updated.try_cast("double").try_cast("bigint"))
     moment = F.when(updated.isNull(), F.lit("ts_0")).otherwise(
         F.when(is_number, F.format_string("ts_%020d", whole)).otherwise(
             F.concat(F.lit("ts_"), F.substring(updated, 1, 26))

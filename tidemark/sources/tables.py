@@ -18,6 +18,7 @@ __all__ = [
     "spread",
     "ensure_log_table",
     "with_ingest_date",
+    "append_log",
     "empty_entity",
     "EntityStore",
     "refresh_table",
@@ -60,6 +61,11 @@ def ensure_log_table(spark: SparkSession, name: str) -> None:
     )
 
 
+def append_log(log: DataFrame, name: str) -> None:
+    """Append log rows to the log table, in evenly sized files per day."""
+    with_ingest_date(log).hint("rebalance", F.col("ingest_date")).write.mode("append").insertInto(name)
+
+
 def empty_entity(spark: SparkSession, spec: EntitySpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
 

@@ -298,6 +298,19 @@ add("compacted_events", _compacted, "SELECT * FROM events")
 add("bucketed_store_orders", _store_merged, with_(LOG, "SELECT * FROM silver_orders"))
 
 
+def _log_table(s, d):
+    """The log as a catalog table, partitioned by day; here each row is ingested at its event time."""
+    name = "tidemark_" + scratch_path(s, "x").rsplit("-", 1)[1]
+    s.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(s, 'log_db')}'")
+    S.ensure_log_table(s, f"{name}.raw_changes")
+    log = change_log(s, d).withColumn("ingest_time", F.timestamp_millis("kafka_timestamp"))
+    S.append_log(log, f"{name}.raw_changes")
+    return s.table(f"{name}.raw_changes").groupBy("ingest_date", "entity").agg(F.count(F.lit(1)).alias("n"))
+
+
+add("log_table_partitions", _log_table, with_(LOG, "SELECT CAST(ts AS DATE) AS ingest_date, entity, CAST(count(*) AS BIGINT) AS n FROM bronze GROUP BY 1, 2"))
+
+
 def _release_log(s, d):
     path = scratch_path(s, "releases")
     kpis = I.kpis(s, d)
