@@ -9,7 +9,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["Severity", "RowCheck", "AggregateCheck", "GroupCheck", "FrameCheck", "run_checks", "with_severity", "gate_decision"]
+__all__ = [
+    "Severity",
+    "RowCheck",
+    "AggregateCheck",
+    "GroupCheck",
+    "FrameCheck",
+    "run_checks",
+    "with_severity",
+    "gate_decision",
+]
 
 
 @dataclass(frozen=True)

@@ -148,7 +148,12 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spread(table(spark, folder, "events"))
         .withColumn("_ts", F.col("ts").cast("timestamp"))
-        .withColumn("_op", F.expr("CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END"))
+        .withColumn(
+            "_op",
+            F.when(F.col("event_type").isin("signup", "purchase"), "c")
+            .when(F.col("event_type") == "error", "d")
+            .otherwise("u"),
+        )
         .withColumn("_amount", F.col("value").cast("decimal(18,2)"))
         .withColumn("order_id", F.col("user_id") * 1000 + number)
         .withColumn("payment_id", F.col("user_id") * 10 + number % 10)

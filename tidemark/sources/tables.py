@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.keys import row_checksum
 from tidemark.operators.envelope import LOG_SCHEMA

@@ -141,6 +141,7 @@ def release_entry(
     def lit(value) -> Column:
         return value if isinstance(value, Column) else F.lit(value)
 
+    # fixed values: the column names of release logs in use
     return kpis.agg(F.min("kpi_date").alias("_lo"), F.max("kpi_date").alias("_hi")).select(
         F.lit(release_id).alias("release_id"),
         F.lit(metric_version).alias("metric_version"),
