@@ -152,3 +152,13 @@ def test_replay_of_a_window(spark):
     first = amounts(store.stored())
     replay(at, {"orders": store})
     assert amounts(store.stored()) == first == expected(events)
+
+
+def test_settle_after_a_crash_before_the_view_moved(spark):
+    store = EntityStore(spark, "store_crash", SPEC, buckets=4).ensure()
+    events = random_events(9)
+    store.append(fold(log_of(spark, *events)))
+    # the new version was written, but the writer died before publishing it
+    store.stored().write.mode("overwrite").saveAsTable(store._table(1))
+    assert store.version() == 0 and sorted((r["order_id"], str(r["total_amount"])) for r in store.read().collect()) == expected(events)
+    assert store.settle() == 1 and amounts(store.stored()) == expected(events)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates as D
 
 __all__ = [
+    "period_rows",
     "date_spine",
     "spine_between",
     "base_dates",
@@ -21,7 +22,7 @@ __all__ = [
 ]
 
 
-def _steps(span: DataFrame, datepart: str) -> DataFrame:
+def period_rows(span: DataFrame, datepart: str) -> DataFrame:
     """One row per period between ``_lo`` and ``_hi`` of a one-row relation.
 
     Periods shorter than a day are made day by day, so that no row carries a long array.
@@ -42,13 +43,13 @@ def _moment(value) -> Column:
 
 def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
     """All period starts from ``start`` up to and including ``end``."""
-    return _steps(spark.range(1).select(_moment(start).alias("_lo"), _moment(end).alias("_hi")), datepart)
+    return period_rows(spark.range(1).select(_moment(start).alias("_lo"), _moment(end).alias("_hi")), datepart)
 
 
 def spine_between(df: DataFrame, column: str, datepart: str = "day") -> DataFrame:
     """Spine over the value range of a column, found by Spark without a driver round trip."""
     moment = F.date_trunc(datepart, F.col(column).cast("timestamp"))
-    return _steps(df.agg(F.min(moment).alias("_lo"), F.max(moment).alias("_hi")), datepart)
+    return period_rows(df.agg(F.min(moment).alias("_lo"), F.max(moment).alias("_hi")), datepart)
 
 
 def base_dates(

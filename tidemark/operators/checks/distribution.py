@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import add_periods, period_diff
+from tidemark.operators.calendar import period_rows
 from tidemark.operators.checks.kernels import Condition, where
 
 __all__ = ["within_n_stdevs", "within_n_moving_stdevs", "data_for_every_n_datepart"]
@@ -109,19 +110,21 @@ def data_for_every_n_datepart(
     span = rows.agg(F.min("_ts").cast("date").alias("_lo"), F.max("_ts").cast("date").alias("_hi"))
     low = F.col("_lo") if start is None else F.lit(start).cast("date")
     high = F.col("_hi") if end is None else F.lit(end).cast("date")
-    span = span.select(
-        F.date_trunc(datepart, low).alias("_start"), high.cast("timestamp").alias("_end")
-    )
+    span = span.select(F.date_trunc(datepart, low).alias("_lo"), high.cast("timestamp").alias("_hi"))
     # the spine grows with the calendar, not with the rows
-    origin = span.select("_start").scalar()
-    step = F.expr(f"INTERVAL {int(interval)} {datepart}")
-    spine = span.select(F.explode(F.sequence("_start", "_end", step)).alias(name))
+    spine = period_rows(span, datepart)
 
     day = F.date_trunc(datepart, F.col("_ts"))
     if interval > 1:
+        origin = span.select("_lo").scalar()
+
+        def past_start(moment: str) -> Column:
+            return F.pmod(period_diff("_start", moment, datepart), F.lit(interval))
+
+        spine = spine.withColumn("_start", origin).filter(past_start(name) == 0).drop("_start")
         # move each row back to the start of its bucket
         rows = rows.withColumn("_start", origin)
-        offset = F.pmod(period_diff("_start", "_ts", datepart), F.lit(interval))
+        offset = past_start("_ts")
         day = F.timestamp_add(datepart.upper(), (-offset).cast("int"), day)
     filled = rows.groupBy(day.alias(name)).agg(F.count(F.lit(1)).alias("row_cnt"))
     gaps = (

@@ -22,6 +22,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # deduplication and session state may exceed executor memory
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         # sessions of a hot key are merged inside each task first
         .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         # checks make many small plans; keep all their generated classes
