@@ -30,3 +30,18 @@ def text_or_empty(name: str = "text") -> Column:
 def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a text in joins, as two numbers."""
     return [F.xxhash64(text).alias("key_a"), F.xxhash64(F.lit("second"), text).alias("key_b")]
+
+
+def words(text: Column) -> Column:
+    """Lower-case runs of letters and digits."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def picked_hashes(hashes: str, picked: list[int], salt: int) -> Column:
+    """Hash of the picked places of every stretch of ``picked[-1] + 1`` values; empty if there is none."""
+    starts = F.size(hashes) - F.lit(picked[-1])
+    each = F.transform(
+        F.sequence(F.lit(0), F.greatest(starts - 1, F.lit(0))),
+        lambda i: F.xxhash64(F.lit(salt), *(F.get(F.col(hashes), i + j) for j in picked)),
+    )
+    return F.when(starts > 0, each).otherwise(F.array().cast("array<long>"))
