@@ -45,3 +45,14 @@ def picked_hashes(hashes: str, picked: list[int], salt: int) -> Column:
         lambda i: F.xxhash64(F.lit(salt), *(F.get(F.col(hashes), i + j) for j in picked)),
     )
     return F.when(starts > 0, each).otherwise(F.array().cast("array<long>"))
+
+
+def text_digest(text: Column) -> Column:
+    """128 bits that stand for a text in joins."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """``key`` and ``text`` of every different text; copies meet map-side, so none is hot."""
+    texts = docs.select(text_or_empty().alias("text"))
+    return texts.groupBy(text_digest(F.col("text")).alias("key")).agg(F.first("text").alias("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, licenses, packing, quotes, spots, token_counts, toxicity
+from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, token_counts, toxicity
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Registry
@@ -45,11 +45,15 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
+def op9_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return nearcopies.classes(table(spark, folder, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 SQL = {"op5_licenses": licenses.SQL, "op10_decontaminate": decontaminate.SQL}
 
-for build in (op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op10_decontaminate):
+for build in (op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies, op10_decontaminate):
     QUERIES.add(build.__name__, build, SQL.get(build.__name__))
