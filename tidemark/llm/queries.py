@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, token_counts, toxicity
+from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, suffixes, token_counts, toxicity
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Registry
@@ -13,6 +13,10 @@ from tidemark.workload.registry import Registry
 QUERIES = Registry()
 
 
+def op1_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report(table(spark, folder, "documents"))
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return language.predict(docs, language.fit(docs))
@@ -55,5 +59,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL = {"op5_licenses": licenses.SQL, "op10_decontaminate": decontaminate.SQL}
 
-for build in (op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies, op10_decontaminate):
+for build in (op1_suffixes, op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies, op10_decontaminate):
     QUERIES.add(build.__name__, build, SQL.get(build.__name__))
