@@ -21,9 +21,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import text_or_empty
 
@@ -214,3 +216,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), text_or_empty().alias("text")).mapInArrow(run, SCHEMA)
+
+
+def label(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The documents whose language is known with a score of ``least`` or more, ``lang`` as predicted."""
+    kind, names = docs.schema["lang"].dataType, docs.columns
+    schema = T.StructType([T.StructField("found", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    @F.pandas_udf(schema)
+    def find(texts: pd.Series) -> pd.DataFrame:
+        found = _texts_to_scores(model, texts.tolist()) if model else [(UNKNOWN, 0.0)] * len(texts)
+        return pd.DataFrame(found, columns=["found", "score"])
+
+    scored = docs.withColumn("__found", find(text_or_empty()))
+    known = scored.filter((F.col("__found.found") != UNKNOWN) & (F.col("__found.score") >= least))
+    return known.withColumn("lang", F.col("__found.found").cast(kind)).select(names)
