@@ -365,10 +365,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     return covered.union(sorted_).union(counted)
 
 
-def merged(spans: list[dict] | None) -> list[list[int]]:
+def merged(spans) -> list[list[int]]:
     """Maximal runs of covered bytes."""
     result: list[list[int]] = []
-    for s in sorted((s["start"], s["stop"]) for s in spans or ()):
+    for s in sorted((s["start"], s["stop"]) for s in ([] if spans is None else spans)):
         if result and s[0] <= result[-1][1]:
             result[-1][1] = max(result[-1][1], s[1])
         else:
