@@ -139,7 +139,8 @@ def _buckets(docs: DataFrame) -> DataFrame:
     members = stored(signed.groupBy("key").agg(F.first("bands").alias("bands")).filter("bands IS NOT NULL"), "signatures").select(
         F.explode("bands").alias("bucket"), "key"
     )
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # sums are written before they are joined: a join right above an aggregate cannot split a hot key
+    shared = stored(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     return stored(members.join(shared, "bucket"), "buckets")
 
 
@@ -175,14 +176,14 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified links (u, v) between keys of different texts, and the components that they make."""
     members = _buckets(docs)
-    degrees = members.groupBy("key").agg(F.sum("n").alias("degree"))
-    centres = members.join(degrees, "key").groupBy("bucket").agg(F.max(F.struct("degree", "key")).alias("c"))
+    degrees = stored(members.groupBy("key").agg(F.sum("n").alias("degree")), "degrees")
+    centres = stored(members.join(degrees, "key").groupBy("bucket").agg(F.max(F.struct("degree", "key")).alias("c")), "centres")
     pairs = (
         members.join(centres, "bucket")
         .filter(F.col("key") != F.col("c.key"))
         .select(F.col("c.key").alias("u"), F.col("key").alias("v"))
-        .distinct()
     )
+    pairs = stored(pairs.distinct(), "pairs")
     first = stored(verified(pairs, docs), "verified")
     roots = components(first)
 
@@ -216,8 +217,9 @@ def class_of(docs: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_members of every row."""
-    placed = class_of(docs.select(F.col("doc_id").cast("long"), "text"))
+    placed = stored(class_of(docs.select(F.col("doc_id").cast("long"), "text")), "classes")
     named = placed.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_members"))
+    named = stored(named, "named")
     empty = docs.filter(text_or_empty() == "").select(F.col("doc_id").cast("long")).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_members"))
     return placed.join(named, "class_key").select("doc_id", "class_id", "n_members").union(empty)
 
