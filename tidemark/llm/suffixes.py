@@ -320,7 +320,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     found = texts.select(text_digest(F.col("text")).alias("key"), "text").mapInArrow(
         _emit_runs, "key binary, anchor long, context long, place long"
     )
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # sums are written before they are joined: a join right above an aggregate cannot split a hot key
+    again = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "again")
     candidates = stored(found.join(again, "anchor"), "runs")
 
     contexts = stored(
