@@ -9,8 +9,8 @@ probability of their probability Jaccard likeness.
 1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets
 with others (an original lies closer to its copies than they lie to each other). Verified links (Jaccard likeness of the
 shingle sets of at least 0.8) make components. Where a bucket still holds several components, the members outside its
-largest one are compared with all members of other components: then no pair that shares a bucket is left untested but
-those that one class already holds. No bucket is gathered and no text is compared with its own copies.
+largest one are compared with some member of that one, another one in each bucket, ``ROUNDS`` times; what is still
+outside then is compared with all members of other components. So no pair that shares a bucket is left untested but those that one class already holds. No bucket is gathered and no text is compared with its own copies.
 
 Defined cases: equal texts are one class, whatever their words. Texts shorter than five words are one shingle of
 all their words, texts without words are like their exact copies only. Null and empty texts have nothing in common: each such
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ from tidemark.llm.components import components
 BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
+ROUNDS = 2
 #: shingles handled at once: bounds a worker's memory
 BATCH_SHINGLES = 600_000
 KEPT_WORDS = 500_000
@@ -165,47 +166,59 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([kept.column(0).cast(pa.binary()), kept.column(1).cast(pa.binary())], names=["u", "v"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of text keys that are alike."""
-    texts = distinct_texts(docs)
     with_v = pairs.join(texts.select(F.col("key").alias("v"), F.col("text").alias("text_v")), "v")
     both = with_v.join(texts.select(F.col("key").alias("u"), F.col("text").alias("text_u")), "u")
     return both.select("u", "v", "text_u", "text_v").mapInArrow(_verified, "u binary, v binary")
 
 
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, key, root, main of the buckets that hold several components; main is the largest."""
+    placed = members.join(roots.withColumnRenamed("vertex", "key"), "key", "left")
+    placed = stored(placed.select("bucket", "key", F.coalesce("root", "key").alias("root")), "placed")
+    by_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = by_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("main"))
+    main = stored(main.filter("roots > 1").select("bucket", F.col("main.root").alias("main")), "main")
+    return stored(placed.join(main, "bucket"), "mixed")
+
+
+def _ordered(u: str, v: str) -> list:
+    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified links (u, v) between keys of different texts, and the components that they make."""
     members = _buckets(docs)
+    shared = members.select("key").distinct()
+    texts = stored(distinct_texts(docs).join(shared, "key", "left_semi"), "texts")
     degrees = stored(members.groupBy("key").agg(F.sum("n").alias("degree")), "degrees")
     centres = stored(members.join(degrees, "key").groupBy("bucket").agg(F.max(F.struct("degree", "key")).alias("c")), "centres")
-    pairs = (
-        members.join(centres, "bucket")
-        .filter(F.col("key") != F.col("c.key"))
-        .select(F.col("c.key").alias("u"), F.col("key").alias("v"))
-    )
-    pairs = stored(pairs.distinct(), "pairs")
-    first = stored(verified(pairs, docs), "verified")
-    roots = components(first)
-
-    placed = members.join(roots.withColumnRenamed("vertex", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-    placed = stored(placed, "placed")
-    by_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = by_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("main")).filter("roots > 1")
-    open_members = placed.join(mixed.select("bucket", F.col("main.root").alias("main")), "bucket")
-    outside = open_members.filter(F.col("root") != F.col("main")).select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"))
-    more = (
-        outside.join(open_members.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root")), "bucket")
-        .filter(F.col("a_root") != F.col("b_root"))
-        .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-        .distinct()
-    )
-    # what was compared with a centre in the first place
-    more = more.join(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
-    second = stored(verified(stored(more, "more"), docs), "verified")
-    if second.isEmpty():
-        return first, roots
-    both = first.union(second)
-    return both, components(both)
+    centres = centres.select("bucket", F.col("c.key").alias("centre"))
+    tested, found = [], []
+
+    def test(pairs: DataFrame) -> DataFrame:
+        """Compares the new ones of the pairs and gives the components so far."""
+        new = pairs.filter(F.col("u") != F.col("v")).distinct()
+        for earlier in tested:
+            new = new.join(earlier, ["u", "v"], "left_anti")
+        tested.append(stored(new, "pairs"))
+        found.append(stored(verified(tested[-1], texts), "verified"))
+        return components(reduce(DataFrame.union, found))
+
+    roots = test(members.join(centres, "bucket").select(*_ordered("key", "centre")))
+    for number in range(ROUNDS):
+        # members outside a bucket's largest component against some member of it, another one in each bucket
+        mixed = _mixed(members, roots)
+        chosen = F.min(F.struct(F.xxhash64(F.lit(number), "bucket", "key"), "key"))["key"].alias("centre")
+        centres = stored(mixed.filter(F.col("root") == F.col("main")).groupBy("bucket").agg(chosen), "centres")
+        outside = mixed.filter(F.col("root") != F.col("main"))
+        roots = test(outside.join(centres, "bucket").select(*_ordered("key", "centre")))
+    mixed = _mixed(members, roots)
+    outside = mixed.filter(F.col("root") != F.col("main")).select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"))
+    across = outside.join(mixed.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root")), "bucket")
+    roots = test(across.filter(F.col("a_root") != F.col("b_root")).select(*_ordered("a", "b")))
+    return reduce(DataFrame.union, found), roots
 
 
 def class_of(docs: DataFrame) -> DataFrame:
