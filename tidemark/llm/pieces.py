@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 #: a worker keeps so many pieces at most, then starts anew
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 #: texts of these characters only are cut here: for them lower case and letter classes are beyond doubt
@@ -48,14 +48,18 @@ class PieceCoder:
     """
 
     def __init__(self, path: str, kind: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._library = Tokenizer.from_file(path)
         self._cut = _PATTERNS[kind].findall
         self._lower = kind == "words"
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
-        self._bytes = _Known(lambda p: np.array(self._ids(p), "<u4").tobytes())
-        self._counts = _Known(lambda p: len(self._ids(p)))
+        # the library's model codes a piece once its bytes are written as the vocabulary writes them
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        signs = {ord(c): written(c)[0][0] for c in map(chr, range(0x180)) if _PLAIN.fullmatch(c)}
+        model = self._library.model
+        self._bytes = _Known(lambda p: np.array([t.id for t in model.tokenize(p.translate(signs))], "<u4").tobytes())
+        self._counts = _Known(lambda p: len(model.tokenize(p.translate(signs))))
 
     def _ids(self, text: str) -> list[int]:
         return self._library.encode(text, add_special_tokens=False).ids
