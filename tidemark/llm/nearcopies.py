@@ -6,11 +6,13 @@ when its next arrival is later than all registers' first ones, so most stop at o
 probability of their probability Jaccard likeness.
 
 ``BANDS`` bands of ``ROWS`` registers put texts into buckets: a pair at 0.8 shares one with a probability of
-1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets
-with others (an original lies closer to its copies than they lie to each other). Verified links (Jaccard likeness of the
-shingle sets of at least 0.8) make components. Where a bucket still holds several components, the members outside its
-largest one are compared with some member of that one, another one in each bucket, ``ROUNDS`` times; what is still
-outside then is compared with all members of other components. So no pair that shares a bucket is left untested but those that one class already holds. No bucket is gathered and no text is compared with its own copies.
+1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets with others
+(an original lies closer to its copies than they lie to each other) and with another one, chosen by hash. Verified links
+(Jaccard likeness of the shingle sets of at least 0.8) make components. Where a bucket still holds several, the members
+outside its largest component are compared with one more of its members; those that are still outside, and that share enough
+of their shingles with any text to be alike to one at all, are compared with all members of other components. So no pair that shares
+a bucket is left untested, but those that one class already holds and those that cannot be alike. No bucket is gathered,
+no text is compared with its own copies.
 
 Defined cases: equal texts are one class, whatever their words. Texts shorter than five words are one shingle of
 all their words, texts without words are like their exact copies only. Null and empty texts have nothing in common: each such
@@ -36,7 +38,6 @@ from tidemark.llm.components import components
 BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
-ROUNDS = 2
 #: shingles handled at once: bounds a worker's memory
 BATCH_SHINGLES = 600_000
 KEPT_WORDS = 500_000
@@ -197,30 +198,56 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     centres = centres.select("bucket", F.col("c.key").alias("centre"))
     tested, found = [], []
 
-    def test(pairs: DataFrame) -> DataFrame:
+    def test(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
         """Compares the new ones of the pairs and gives the components so far."""
         new = pairs.filter(F.col("u") != F.col("v")).distinct()
         for earlier in tested:
             new = new.join(earlier, ["u", "v"], "left_anti")
         tested.append(stored(new, "pairs"))
         found.append(stored(verified(tested[-1], texts), "verified"))
-        return components(reduce(DataFrame.union, found))
-
-    roots = test(members.join(centres, "bucket").select(*_ordered("key", "centre")))
-    for number in range(ROUNDS):
-        # members outside a bucket's largest component against some member of it, another one in each bucket
-        mixed = _mixed(members, roots)
-        chosen = F.min(F.struct(F.xxhash64(F.lit(number), "bucket", "key"), "key"))["key"].alias("centre")
-        centres = stored(mixed.filter(F.col("root") == F.col("main")).groupBy("bucket").agg(chosen), "centres")
-        outside = mixed.filter(F.col("root") != F.col("main"))
-        roots = test(outside.join(centres, "bucket").select(*_ordered("key", "centre")))
+        return roots if roots is not None and found[-1].isEmpty() else components(reduce(DataFrame.union, found))
+
+    # the second member is another one in each bucket
+    other = F.min(F.struct(F.xxhash64("bucket", "key"), "key"))["key"].alias("other")
+    both = stored(centres.join(members.groupBy("bucket").agg(other), "bucket").select("bucket", F.explode(F.array("centre", "other")).alias("centre")), "both")
+    roots = test(members.join(both, "bucket").select(*_ordered("key", "centre")))
+    mixed = _mixed(members, roots)
+    chosen = F.min(F.struct(F.xxhash64(F.lit(1), "bucket", "key"), "key"))["key"].alias("centre")
+    centres = stored(mixed.filter(F.col("root") == F.col("main")).groupBy("bucket").agg(chosen), "centres")
+    roots = test(mixed.filter(F.col("root") != F.col("main")).join(centres, "bucket").select(*_ordered("key", "centre")), roots)
     mixed = _mixed(members, roots)
-    outside = mixed.filter(F.col("root") != F.col("main")).select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"))
+    outside = _possible(mixed, texts).select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"))
     across = outside.join(mixed.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root")), "bucket")
-    roots = test(across.filter(F.col("a_root") != F.col("b_root")).select(*_ordered("a", "b")))
+    roots = test(across.filter(F.col("a_root") != F.col("b_root")).select(*_ordered("a", "b")), roots)
     return reduce(DataFrame.union, found), roots
 
 
+def _emit_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        for key, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            found = np.unique(shingles(text)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.binary()), pa.array(found)], names=["key", "shingle"])
+
+
+def _possible(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members outside their bucket's main component that can be alike to any other member.
+
+    Of ``size`` shingles, ``x`` occur in another text of these buckets as well. No intersection is larger than x, so no
+    likeness is above x / (size + least - x) with a member of at least ``least`` shingles; below 0.8 of its own size none is alike.
+    """
+    keys = mixed.select("key").distinct()
+    held = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(_emit_shingles, "key binary, shingle long")
+    by_shingle = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"))
+    alone = stored(by_shingle.filter("n = 1").groupBy("key").agg(F.count(F.lit(1)).alias("alone")), "alone")
+    sizes = stored(held.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    sized = sizes.join(alone, "key", "left").select("key", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("x"))
+    sized = stored(mixed.join(stored(sized, "sized"), "key"), "sized")
+    least = stored(sized.groupBy("bucket").agg(F.min("size").alias("least")), "least")
+    smallest = F.greatest(F.col("least"), F.col("size") * F.lit(SIMILAR))
+    outside = sized.filter(F.col("root") != F.col("main")).join(least, "bucket")
+    return outside.filter(F.col("x") >= F.lit(SIMILAR - 1e-9) * (F.col("size") + smallest - F.col("x")))
+
+
 def class_of(docs: DataFrame) -> DataFrame:
     """doc_id, key, class_key of every row with text."""
     _, roots = links(docs)
