@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +16,20 @@ SHINGLE_WORDS = 5
 SIMILAR = 0.8
 
 
+_SENT: set[str] = set()
+
+
+def send_code(spark: SparkSession) -> None:
+    """Gives the executors this library, once per application: Python workers import it."""
+    if spark.sparkContext.applicationId not in _SENT:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _SENT.add(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    send_code(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
