@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, nearcopies, packing, suffixes
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import send_code, stored, table
 
 #: a text is kept if its language is at least this sure
 LEAST_LANGUAGE_SCORE = 0.5
@@ -27,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Texts without letters and texts whose language is unsure go.
     """
+    send_code(spark)
     return language.label(docs, language.fit(docs), LEAST_LANGUAGE_SCORE)
 
 
