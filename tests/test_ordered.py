@@ -70,3 +70,9 @@ def test_quantile_bounds(spark):
     with pytest.raises(ValueError):
         exact_quantile(spark.range(1), "id", 1.5)
     assert exact_quantile(spark.range(0), "id", 0.5).first()[0] is None
+
+
+def test_quantile_keeps_the_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "g int, v double")
+    got = {r.g: r.quantile for r in exact_quantile(df, "v", 0.5, group_by=["g"]).collect()}
+    assert got == {None: 2.0, 1: 5.0}

@@ -114,3 +114,8 @@ def test_every_query_has_sql_and_entry_runs(spark):
 
     assert set(entry.queries()) == set(entry.oracle_sql())
     assert entry.entry(spark).count() > 0
+
+
+def test_checksum_counts_copies(spark):
+    a, b = (spark.createDataFrame([(v,) for v in rows], "v int") for rows in ([1, 1, 3], [2, 2, 3]))
+    assert not S.same_checksum(S.checksum(a), S.checksum(b)).first()["all_equal"]

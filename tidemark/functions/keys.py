@@ -38,5 +38,5 @@ def mask_email(value: ColumnOrName, keep: int = 1) -> Column:
 
 
 def row_checksum(*columns: ColumnOrName) -> Column:
-    """Order-independent aggregate over whole rows: xor of the 64-bit row hashes."""
-    return F.bit_xor(F.xxhash64(*[as_col(c) for c in columns]))
+    """Order-independent aggregate over whole rows: sum of the 64-bit row hashes, so copies count."""
+    return F.sum(F.xxhash64(*[as_col(c) for c in columns]).cast("decimal(38,0)"))

@@ -135,7 +135,7 @@ def equal_expression(
         "expression_difference_percent",
         F.try_divide(F.col("expression_difference").cast("double"), F.col("expression").cast("double")),
     )
-    if tolerance_percent:
+    if tolerance_percent is not None:
         return both.filter(F.col("expression_difference_percent") > tolerance_percent)
     return both.filter(F.col("expression_difference") > tolerance)
 

@@ -40,9 +40,8 @@ def adjacent_violations(
 
     width = shuffle_width(df.sparkSession)
     ranged = tuples.repartitionByRange(width, *keys).withColumn("_range", F.spark_partition_id())
-    if hasattr(ranged, "repartitionById"):
-        # one range per task; without it ranges are hashed and some tasks get several
-        ranged = ranged.repartitionById(width, F.col("_range"))
+    # one range per task
+    ranged = ranged.repartitionById(width, F.col("_range"))
     shift = F.lag if direction == "previous" else F.lead
     within = Window.partitionBy("_range").orderBy(*keys)
     packed = F.struct(*keys)
@@ -164,7 +163,11 @@ def exact_quantile(
     )
     running = Window.partitionBy(*group, "_bin").orderBy("_v")
     upper = F.col("_before") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    placed = binned.join(wanted, [*group, "_bin"]).withColumn("_upper", upper)
+    # a group may be NULL
+    keys = [*group, "_bin"]
+    asked = wanted.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [binned[k].eqNullSafe(asked[f"_of_{k}"]) for k in keys]
+    placed = binned.join(asked, same).drop(*(f"_of_{k}" for k in keys)).withColumn("_upper", upper)
     lower = F.col("_upper") - F.col("_n")
 
     def at(rank: str) -> Column:

@@ -137,7 +137,7 @@ def _message(entity: str, key: str, image: Column, op: Column, source: Column, w
 
 
 def _source(entity: str, with_lsn: bool) -> Column:
-    parts = [F.lit("project1").alias("db"), F.lit("public").alias("schema"), F.lit(entity).alias("table")]
+    parts = [F.lit("shop").alias("db"), F.lit("public").alias("schema"), F.lit(entity).alias("table")]
     if with_lsn:
         parts.append((F.col("event_id") + 1000).alias("lsn"))
     return F.struct(*parts)
