@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import stored, text_or_empty
 
 SAMPLE = 4000
 FEATURES = 2000
@@ -165,7 +165,7 @@ def fit_thresholds(rows: list[np.ndarray], grades: np.ndarray, width: int, steps
 
 def fit(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE) -> Model:
     """Model of the labelled documents; a constant one without two grades."""
-    chosen = sample(docs, labels, per_grade)
+    chosen = stored(sample(docs, labels, per_grade), "sample")
     counts = {r["grade"]: r["n"] for r in chosen.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_clean = counts.get(0, 0)
     n_graded = sum(counts.values()) - n_clean
