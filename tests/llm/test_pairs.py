@@ -49,6 +49,23 @@ def test_classes_equal_all_pairs(documents, seed):
     assert found == brute_classes(rows)
 
 
+@pytest.mark.parametrize("rare", [2, 16])
+def test_classes_in_a_group_around_the_limit(documents, monkeypatch, rare):
+    r = random.Random(rare)
+    texts = [[f"w{r.randrange(400)}" for _ in range(150)]]
+    for _ in range(110):
+        text = list(texts[r.choice([0, 0, 0, r.randrange(len(texts))])])
+        for _ in range(r.randint(1, 8)):
+            text[r.randrange(len(text))] = f"e{r.randrange(30)}"
+        texts.append(text)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(nearcopies, "RARE", rare)
+    found = {d.doc_id: (d.class_id, d.n_members) for d in nearcopies.classes(documents(rows)).collect()}
+    expected = brute_classes(rows)
+    assert 5 < len({c for c, _ in expected.values()}) < 100
+    assert found == expected
+
+
 def test_one_of_each_class_stays(documents, odd, empty):
     rows = near_rows(3)
     expected = {c for c, _ in brute_classes(rows).values()}

@@ -9,10 +9,12 @@ probability of their probability Jaccard likeness.
 1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets with others
 (an original lies closer to its copies than they lie to each other) and with another one, chosen by hash. Verified links
 (Jaccard likeness of the shingle sets of at least 0.8) make components. Where a bucket still holds several, the members
-outside its largest component are compared with one more of its members; those that are still outside, and that share enough
-of their shingles with any text to be alike to one at all, are compared with all members of other components. So no pair that shares
-a bucket is left untested, but those that one class already holds and those that cannot be alike. No bucket is gathered,
-no text is compared with its own copies.
+outside its largest component are compared with one more of its members. For those that are still outside, candidates come in two
+ways. Order the shingles of a text from rare to frequent: two alike texts share one of their first ``0.2 size + 1``, the rarest
+common one. If at most ``RARE`` texts hold it, the pair meets at it. Otherwise all common shingles are more frequent, and the
+numbers of such shingles bound the likeness: only pairs of a bucket that this bound lets through are compared. So no pair that
+shares a bucket is left untested, but those that one class already holds and those that cannot be alike. No bucket is
+gathered, no text is compared with its own copies.
 
 Defined cases: equal texts are one class, whatever their words. Texts shorter than five words are one shingle of
 all their words, texts without words are like their exact copies only. Null and empty texts have nothing in common: each such
@@ -29,7 +31,7 @@ from functools import lru_cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SHINGLE_WORDS, SIMILAR, distinct_texts, stored, text_digest, text_or_empty
@@ -41,6 +43,8 @@ REGISTERS = BANDS * ROWS
 #: shingles handled at once: bounds a worker's memory
 BATCH_SHINGLES = 600_000
 KEPT_WORDS = 500_000
+#: a shingle that at most so many texts hold brings each two of them together; parts the candidates, drops none
+RARE = 16
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -216,9 +220,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     centres = stored(mixed.filter(F.col("root") == F.col("main")).groupBy("bucket").agg(chosen), "centres")
     roots = test(mixed.filter(F.col("root") != F.col("main")).join(centres, "bucket").select(*_ordered("key", "centre")), roots)
     mixed = _mixed(members, roots)
-    outside = _possible(mixed, texts).select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"))
-    across = outside.join(mixed.select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root")), "bucket")
-    roots = test(across.filter(F.col("a_root") != F.col("b_root")).select(*_ordered("a", "b")), roots)
+    roots = test(_candidates(mixed, texts), roots)
     return reduce(DataFrame.union, found), roots
 
 
@@ -229,23 +231,39 @@ def _emit_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.binary()), pa.array(found)], names=["key", "shingle"])
 
 
-def _possible(mixed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Members outside their bucket's main component that can be alike to any other member.
+def _candidates(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components that may be alike, one of them outside the main component of a bucket of both.
 
-    Of ``size`` shingles, ``x`` occur in another text of these buckets as well. No intersection is larger than x, so no
-    likeness is above x / (size + least - x) with a member of at least ``least`` shingles; below 0.8 of its own size none is alike.
+    A pair is left out only if its likeness is below 0.8: its rarest common shingle would stand among the first ones of both texts,
+    and where that shingle is held by more than ``RARE`` texts, the common shingles are no more than either text has of such frequent ones.
     """
-    keys = mixed.select("key").distinct()
-    held = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(_emit_shingles, "key binary, shingle long")
-    by_shingle = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key"))
+    # common shingles of two alike texts are at least this share of the sum of their sizes
+    share = SIMILAR / (1 + SIMILAR)
+    outside = mixed.filter(F.col("root") != F.col("main"))
+    roots = stored(mixed.groupBy("key").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside")), "roots")
+    held = texts.join(roots.select("key"), "key", "left_semi").select("key", "text").mapInArrow(_emit_shingles, "key binary, shingle long")
+    by_shingle = stored(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).filter(F.col("n") <= RARE), "rare")
     alone = stored(by_shingle.filter("n = 1").groupBy("key").agg(F.count(F.lit(1)).alias("alone")), "alone")
+    rare = stored(held.join(by_shingle.filter("n > 1").select("shingle", "n"), "shingle"), "shared")
+    few = stored(rare.groupBy("key").agg(F.count(F.lit(1)).alias("few")), "few")
     sizes = stored(held.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    sized = sizes.join(alone, "key", "left").select("key", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("x"))
-    sized = stored(mixed.join(stored(sized, "sized"), "key"), "sized")
-    least = stored(sized.groupBy("bucket").agg(F.min("size").alias("least")), "least")
-    smallest = F.greatest(F.col("least"), F.col("size") * F.lit(SIMILAR))
-    outside = sized.filter(F.col("root") != F.col("main")).join(least, "bucket")
-    return outside.filter(F.col("x") >= F.lit(SIMILAR - 1e-9) * (F.col("size") + smallest - F.col("x")))
+    sized = sizes.join(alone, "key", "left").join(few, "key", "left").join(roots, "key").na.fill(0, ["alone", "few"])
+    sized = stored(sized.withColumn("frequent", F.col("size") - F.col("alone") - F.col("few")), "sized")
+
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "shingle"))
+    ranked = rare.withColumn("rank", rank).join(sized, "key")
+    first = stored(ranked.filter(F.col("alone") + F.col("rank") <= F.floor(F.col("size") * F.lit(1 - SIMILAR) + 1e-9) + 1), "first")
+    a = first.filter("outside").select("shingle", F.col("key").alias("a"), F.col("root").alias("a_root"))
+    meet = a.join(first.select("shingle", F.col("key").alias("b"), F.col("root").alias("b_root")), "shingle")
+
+    # the other text has 0.8 times the shingles at least
+    able = sized.filter(F.col("frequent") >= share * (1 + SIMILAR) * F.col("size") - 1e-9).select("key", "size", "frequent")
+    a = outside.join(able, "key").select("bucket", F.col("key").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"), F.col("frequent").alias("a_frequent"))
+    b = mixed.join(able, "key").select("bucket", F.col("key").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"), F.col("frequent").alias("b_frequent"))
+    common = F.least("a_frequent", "b_frequent")
+    near = (F.col("a_root") != F.col("b_root")) & (common >= share * (F.col("a_size") + F.col("b_size")) - 1e-9)
+    across = stored(a, "able").join(stored(b, "able"), "bucket").filter(near)
+    return meet.filter(F.col("a_root") != F.col("b_root")).select(*_ordered("a", "b")).union(across.select(*_ordered("a", "b")))
 
 
 def class_of(docs: DataFrame) -> DataFrame:
