@@ -242,6 +242,7 @@ def _candidates(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     outside = mixed.filter(F.col("root") != F.col("main"))
     roots = stored(mixed.groupBy("key").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside")), "roots")
     held = texts.join(roots.select("key"), "key", "left_semi").select("key", "text").mapInArrow(_emit_shingles, "key binary, shingle long")
+    held = stored(held, "shingles")
     by_shingle = stored(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).filter(F.col("n") <= RARE), "rare")
     alone = stored(by_shingle.filter("n = 1").groupBy("key").agg(F.count(F.lit(1)).alias("alone")), "alone")
     rare = stored(held.join(by_shingle.filter("n > 1").select("shingle", "n"), "shingle"), "shared")
