@@ -1,3 +1,4 @@
+import base64
 import datetime as dt
 import math
 from decimal import Decimal
@@ -64,6 +65,31 @@ def test_decode_decimal(spark, text, value):
     assert got == (None if value is None else Decimal(value))
 
 
+@pytest.mark.parametrize(
+    "text,by_bytes,by_number",
+    [
+        ("0000", "-29293.56", "0"),
+        ("1234", "-26588.24", "1234"),
+        ("12E3", "-26620.89", "12000"),
+        ("99e9", "-5345.95", "99000000000"),
+        ("99.99", None, "99.99"),
+        ("", None, None),
+    ],
+)
+def test_decode_decimal_does_not_guess(spark, text, by_bytes, by_number):
+    df = spark.createDataFrame([(text,)], "t string")
+    for encoding, value in (("bytes", by_bytes), ("number", by_number)):
+        got = df.select(X.decode_decimal("t", 20, 2, encoding)).first()[0]
+        assert got == (None if value is None else Decimal(value))
+
+
+@pytest.mark.parametrize("value", [10**37, -(10**37), 2**64, -(2**64), -(2**63) - 1, 2**70 + 5, -1, 0])
+def test_decode_wide_decimals(spark, value):
+    text = base64.b64encode(value.to_bytes(16, "big", signed=True)).decode()
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(X.decode_decimal("t", 38, 0, "bytes")).first()[0] == value
+
+
 def test_masks(spark):
     df = spark.createDataFrame([("u1@example.com",), ("x",), ("plain",), (None,)], "e string")
     assert values(df.select(X.mask_email("e"))) == ["u*@example.com", "x", "p****", None]

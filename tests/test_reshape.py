@@ -56,6 +56,9 @@ def test_spines(spark):
     days = values(C.date_spine(spark, "day", "2018-01-01", "2018-01-09"))
     assert len(days) == 9 and days[0] == dt.datetime(2018, 1, 1) and days[-1] == dt.datetime(2018, 1, 9)
     assert len(values(C.date_spine(spark, "month", "2018-01-01", "2018-06-30"))) == 6
+    seconds = C.date_spine(spark, "second", "2018-01-01", "2018-01-09")
+    per_task = seconds.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 8 * 86400 + 1 and len(per_task) > 1
     hours = values(C.date_spine(spark, "hour", "2018-01-01 10:15:00", "2018-01-03 11:00:00"))
     assert hours == [dt.datetime(2018, 1, 1, 10, 15) + dt.timedelta(hours=i) for i in range(49)]
     last = values(C.base_dates(spark, n_dateparts=3, as_of="2024-03-01"))

@@ -78,20 +78,27 @@ def uniform(seed: int) -> Column:
     return F.rand(seed)
 
 
-def decode_decimal(value: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
-    """Decimal from a payload field that holds a plain number or the connector's base64 bytes.
+def decode_decimal(value: ColumnOrName, precision: int = 18, scale: int = 2, encoding: str = "either") -> Column:
+    """Decimal from a payload field, as the connector writes it.
 
-    The bytes are a big-endian two's-complement unscaled integer. A plain number wins; the bytes
-    are read only where the text is no number.
+    ``number`` reads plain numbers and ``bytes`` base64 text of a big-endian two's-complement unscaled integer of up to
+    16 bytes; neither looks at the other form. ``either`` is for sources that mix them: a plain number wins, so bytes
+    whose text looks like a number are read as one. Values beyond the precision are NULL.
     """
+    if encoding not in ("number", "bytes", "either"):
+        raise ValueError(f"encoding must be number, bytes or either, got {encoding!r}")
     text = as_col(value)
     target = f"decimal({precision},{scale})"
+    plain = text.try_cast(target)
+    if encoding == "number":
+        return plain
     raw = F.try_to_binary(text, F.lit("base64"))
     digits = F.hex(raw)
     negative = F.substring(digits, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
-    # extend the sign to 8 bytes, which hold every decimal(18, s)
-    extended = F.when(negative, F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
-    signed = F.conv(extended, 16, -10)
-    scaled = signed.cast("decimal(38,0)") / F.lit(10**scale).cast("decimal(38,0)")
-    from_bytes = F.when(F.length(raw).between(1, 8), scaled.try_cast(target))
-    return F.coalesce(text.try_cast(target), from_bytes)
+    # extend the sign to 16 bytes, read as a signed and an unsigned half
+    extended = F.when(negative, F.lpad(digits, 32, "F")).otherwise(F.lpad(digits, 32, "0"))
+    high = F.conv(F.substring(extended, 1, 16), 16, -10).cast("decimal(20,0)")
+    low = F.conv(F.substring(extended, 17, 16), 16, 10).cast("decimal(20,0)")
+    unscaled = F.try_add(F.try_multiply(high, F.lit(str(2**64)).cast("decimal(20,0)")), low)
+    from_bytes = F.when(F.length(raw).between(1, 16), F.concat(unscaled.cast("string"), F.lit(f"E-{scale}")).try_cast(target))
+    return from_bytes if encoding == "bytes" else F.coalesce(plain, from_bytes)

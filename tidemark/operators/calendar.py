@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates as D
+from tidemark.session import shuffle_width
 
 __all__ = [
     "period_rows",
@@ -25,7 +26,8 @@ __all__ = [
 def period_rows(span: DataFrame, datepart: str) -> DataFrame:
     """One row per period between ``_lo`` and ``_hi`` of a one-row relation.
 
-    Periods shorter than a day are made day by day, so that no row carries a long array.
+    Periods shorter than a day are made day by day: the days are dealt out to all tasks in order first, and no row
+    carries a long array.
     """
     name = f"date_{datepart}"
     step = F.expr(f"INTERVAL 1 {datepart}")
@@ -34,6 +36,7 @@ def period_rows(span: DataFrame, datepart: str) -> DataFrame:
     day = F.expr("INTERVAL 1 DAY")
     days = span.select("_hi", F.explode(F.sequence("_lo", "_hi", day)).alias("_day"))
     last = F.least(F.col("_hi"), F.col("_day") + day - step)
+    days = days.repartitionByRange(shuffle_width(span.sparkSession), "_day")
     return days.select(F.explode(F.sequence("_day", last, step)).alias(name))
 
 

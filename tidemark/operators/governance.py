@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import Contract, constraint_column
 from tidemark.functions.keys import mask_email
-from tidemark.operators.merge import latest_events
 from tidemark.operators.ordered import adjacent_violations
 from tidemark.operators.suite import GroupCheck, RowCheck, run_checks
 
@@ -186,9 +185,8 @@ def offset_ranges(log: DataFrame) -> DataFrame:
 
 def offset_gaps(log: DataFrame) -> DataFrame:
     """Each gap between neighbouring offsets. Replayed offsets are no gap."""
-    offsets = log.select("kafka_topic", "kafka_partition", "kafka_offset").distinct()
     return adjacent_violations(
-        offsets,
+        log.select("kafka_topic", "kafka_partition", "kafka_offset"),
         order_by=["kafka_offset"],
         carry=["kafka_offset"],
         broken=lambda here, there, alone: here("kafka_offset") != there("kafka_offset") + 1,
@@ -205,9 +203,11 @@ def offset_gaps(log: DataFrame) -> DataFrame:
 
 def layer_reconciliation(log: DataFrame, entities: Mapping[str, DataFrame]) -> DataFrame:
     """Per entity: log events, keys still alive by the log, rows in the entity table, match flag."""
-    events = log.groupBy("entity").agg(F.count(F.lit(1)).alias("bronze_events"))
-    alive = latest_events(log).groupBy("entity").agg(
-        F.count_if(F.col("op") != "d").alias("expected_rows")
+    # one pass: a key's events are reduced map-side to their number and the last operation
+    newest = F.max_by("op", F.struct("ordering_key", "event_uid"))
+    keys = log.groupBy("entity", "entity_key").agg(F.count(F.lit(1)).alias("events"), newest.alias("op"))
+    logged = keys.groupBy("entity").agg(
+        F.sum("events").alias("bronze_events"), F.count_if(F.col("op") != "d").alias("expected_rows")
     )
     stored = reduce(
         DataFrame.unionByName,
@@ -217,8 +217,7 @@ def layer_reconciliation(log: DataFrame, entities: Mapping[str, DataFrame]) -> D
         ],
     )
     return (
-        events.join(alive, "entity", "full_outer")
-        .join(stored, "entity", "full_outer")
+        logged.join(stored, "entity", "full_outer")
         .select(
             "entity",
             F.coalesce("bronze_events", F.lit(0)).alias("bronze_events"),

@@ -38,11 +38,15 @@ _AUDIT = T.StructType(
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """What the merge needs to know about an entity; a new nullable field is just one more entry."""
+    """What the merge needs to know about an entity; a new nullable field is just one more entry.
+
+    ``decimals`` names how the source writes decimals: ``number``, ``bytes`` or ``either`` (see ``decode_decimal``).
+    """
 
     entity: str
     key: tuple[str, ...]
     payload: T.StructType
+    decimals: str = "either"
 
     @property
     def schema(self) -> T.StructType:
@@ -77,10 +81,10 @@ def latest_events(log: DataFrame, entity: str | None = None) -> DataFrame:
     )
 
 
-def _payload_column(source: Column, field: T.StructField) -> Column:
+def _payload_column(source: Column, field: T.StructField, decimals: str) -> Column:
     if isinstance(field.dataType, T.DecimalType):
         kind = field.dataType
-        return decode_decimal(source.getField(field.name), kind.precision, kind.scale)
+        return decode_decimal(source.getField(field.name), kind.precision, kind.scale, decimals)
     return source.getField(field.name)
 
 
@@ -99,7 +103,7 @@ def typed_changes(latest: DataFrame, spec: EntitySpec, applied_at: Column) -> Da
     key_text = F.split("entity_key", r"\|")
     columns = []
     for f in spec.payload.fields:
-        value = _payload_column(F.col("_row"), f)
+        value = _payload_column(F.col("_row"), f, spec.decimals)
         if f.name in spec.key:
             # the key may have come from the message key only
             value = F.coalesce(value, key_text[spec.key.index(f.name)].try_cast(f.dataType))
