@@ -189,7 +189,7 @@ def offset_gaps(log: DataFrame) -> DataFrame:
         log.select("kafka_topic", "kafka_partition", "kafka_offset"),
         order_by=["kafka_offset"],
         carry=["kafka_offset"],
-        broken=lambda here, there, alone: here("kafka_offset") != there("kafka_offset") + 1,
+        broken=lambda here, there, alone: here("kafka_offset") > there("kafka_offset") + 1,
         group_by=["kafka_topic", "kafka_partition"],
         prefix="previous_",
     ).select(
