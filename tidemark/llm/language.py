@@ -51,15 +51,25 @@ def held_out():
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """At most ``per_language`` stretches of text for each language; ranked map-side before they move."""
+    """At most ``per_language`` stretches of text for each language, those of the least hashes.
+
+    A scan of ``lang`` counts the rows of each language (a short list, as the model has weights for each), so that a row whose hash
+    is beyond four times the expected limit goes before anything moves: what is ranked does not grow with a language.
+    """
+    usable = docs.filter(F.col("lang").isNotNull() & ~held_out())
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limits = [F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 4 * per_language / n))]
+    # a language that the scan has not met is empty
+    limit = F.coalesce(F.create_map(*limits)[F.col("lang")], F.lit(0.0)) if limits else F.lit(0.0)
     place = 1 + F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - 2 * WINDOW, F.lit(1)))
-    return (
-        docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-        .select("lang", "doc_id", "text")
-        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")))
-        .filter(F.col("n") <= per_language)
-        .select("lang", "n", F.substring("text", place.cast("int"), F.lit(2 * WINDOW)).alias("text"))
+    drawn = usable.filter(F.col("text").rlike(r"\p{L}")).select(
+        "lang",
+        "doc_id",
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31)).alias("draw"),
+        F.substring("text", place.cast("int"), F.lit(2 * WINDOW)).alias("text"),
     )
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
+    return drawn.filter(F.col("draw") < limit * F.lit(2.0**31)).withColumn("n", rank).filter(F.col("n") <= per_language).select("lang", "n", "text")
 
 
 def windows(data: bytes, length: int = WINDOW) -> list[np.ndarray]:
