@@ -41,8 +41,8 @@ BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
 #: shingles handled at once: bounds a worker's memory
-BATCH_SHINGLES = 600_000
-KEPT_WORDS = 500_000
+BATCH_SHINGLES = 300_000
+KEPT_WORDS = 100_000
 #: a shingle that at most so many texts hold brings each two of them together; parts the candidates, drops none
 RARE = 16
 
@@ -52,9 +52,10 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        # frequent words come early
+        if len(self) < KEPT_WORDS:
+            self[word] = value
         return value
 
 

@@ -13,8 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: a worker keeps so many pieces at most, then starts anew
-KEPT_PIECES = 1_000_000
+#: a worker keeps the ids of so many pieces and codes all others each time: bounds its memory
+KEPT_PIECES = 500_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 #: texts of these characters only are cut here: for them lower case and letter classes are beyond doubt
@@ -35,9 +35,10 @@ class _Known(dict):
         self._code = code
 
     def __missing__(self, piece: str):
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        value = self[piece] = self._code(piece)
+        value = self._code(piece)
+        # frequent pieces come early
+        if len(self) < KEPT_PIECES:
+            self[piece] = value
         return value
 
 
