@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import pytest
@@ -126,6 +128,56 @@ def test_seeds_are_shuffled_beyond_the_size(odd, spark, monkeypatch):
     assert decontaminate.leaks(odd, items).count() == 1
 
 
+def test_masks_fit_every_pattern_of_the_rule():
+    for n in range(1, decontaminate.OVERLAP + 1):
+        least = math.ceil(n * decontaminate.SHARE)
+        for equal in itertools.combinations(range(n), least):
+            places = [
+                {p + i for i, c in enumerate(mask) if c == "1"}
+                for mask in decontaminate.MASKS[min(n, max(decontaminate.MASKS))]
+                for p in range(n - len(mask) + 1)
+            ]
+            assert any(place <= set(equal) for place in places), (n, equal)
+
+
+def brute_leaks(rows, items):
+    """The rule itself: every line on which item and text can lie."""
+    found = {}
+    for doc, text in rows:
+        for item, known in items:
+            t, w = text.split(), known.split()
+            size = min(len(w), decontaminate.OVERLAP)
+            for line in range(-len(w), len(t)):
+                equal = [0 <= line + i < len(t) and t[line + i] == w[i] for i in range(len(w))]
+                for s in range(len(w) - size + 1):
+                    n = sum(equal[s : s + size])
+                    if n >= math.ceil(size * decontaminate.SHARE):
+                        found[doc, item] = max(found.get((doc, item), (0, 0)), (n, -line - s))
+    return {k: (n, -at) for k, (n, at) in found.items()}
+
+
+def test_leaks_equal_the_rule_for_items_of_every_length(documents, spark):
+    r = random.Random(5)
+    items = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in range(1, 25)]
+    rows = []
+    for n, item in items:
+        for _ in range(12):
+            text = item.split()
+            most = min(n, 20) - math.ceil(min(n, 20) * decontaminate.SHARE)
+            for j in r.sample(range(n), min(n, most + r.choice([0, 0, 0, 1]))):
+                text[j] = "other"
+            before, after = (" ".join(r.choice("abc") for _ in range(r.choice([0, 3]))) for _ in range(2))
+            cut = r.choice([0, 0, most])
+            rows.append((len(rows), f"{before} {' '.join(text[cut:])} {after}"))
+    # either end of an item of nine words
+    rows += [(len(rows), "other " + items[8][1].split(" ", 1)[1]), (len(rows) + 1, items[8][1].rsplit(" ", 1)[0] + " other")]
+    expected = brute_leaks(rows, items)
+    assert {i for _, i in expected} == set(range(1, 25)) and len(expected) > 150
+    known = spark.createDataFrame([*items, (99, " . ")], "item_id long, text string")
+    found = {(d.doc_id, d.item_id): (d.n_equal, d.first_word) for d in decontaminate.leaks(documents(rows), known).collect()}
+    assert found == expected
+
+
 def test_license_scan(documents, odd, empty):
     apache = "Licensed under the Apache License, Version 2.0"
     notice = licenses.TEMPLATES[2][1].split()

@@ -6,25 +6,44 @@ hashes of the test items. A hit fixes how item and text lie on each other; along
 are compared one by one. A text holds an item if among ``OVERLAP`` consecutive item words (all, if the item is
 shorter) ``SHARE`` or more are equal.
 
+The seeds lose none of these: the masks of each item length are chosen so that wherever the words lie that may differ, one mask
+fits between them (a test enumerates all patterns). Masks begin and end with a picked word, so a stretch that
+agrees lies inside the text. Items of up to four words have to be equal and are hashed whole. Texts are hashed under the masks of
+those lengths only that the items have. ``SQL`` retrieves by three other masks of nine words, which lose some of the patterns and all
+items of fewer than nine words.
+
 The test side is broadcast only while it has at most ``BROADCAST_SEEDS`` seeds; beyond that both sides are
 shuffled by hash. Hits are reduced map-side to one row per text, item and line before they move.
 
-Defined cases: null text is empty. Items of fewer words than a mask spans, or with null text or id, are no
-evidence and match nothing. Equal items under two ids are both found. Equal texts have equal results; rows of one
+Defined cases: null text is empty. Items without words, or with null text or id, are no evidence and match nothing. Equal items under two ids are both found. Equal texts have equal results; rows of one
 doc_id give one row per item, with the best overlap, the first of equals. A null doc_id stays null. Empty tables
 give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import picked_hashes, text_key, text_or_empty, words
 
-# Six of nine words each; together they ignore every inner place at least once.
-MASKS = ("110101011", "101110011", "111001101")
-SPAN = len(MASKS[0])
+# The masks for items of so many words; the last ones are for all longer items too.
+MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "110011"),
+    7: ("1111", "1110111"),
+    8: ("11111", "11100111"),
+    9: ("111111", "111000111"),
+    10: ("111011", "11001011", "10100111"),
+}
+#: a mask's number keeps its hashes apart from those of the others
+NUMBERS = {mask: n for n, mask in enumerate(dict.fromkeys(m for masks in MASKS.values() for m in masks))}
 OVERLAP = 20
 SHARE = 0.8
 BROADCAST_SEEDS = 2_000_000
@@ -32,25 +51,34 @@ BROADCAST_SEEDS = 2_000_000
 KEYS = ["key_a", "key_b"]
 
 
-def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, place and hash of every masked stretch of ``text``."""
+def _seeds(df: DataFrame, keep: list[str], masks: list[str]) -> DataFrame:
+    """``keep``, place and hash of every stretch of ``text`` under each of the masks."""
     hashed = df.select(*keep, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    masks = [picked_hashes("hashes", [i for i, c in enumerate(m) if c == "1"], n) for n, m in enumerate(MASKS)]
-    arrays = hashed.select(*keep, (F.size("hashes") - SPAN + 1).alias("n"), F.concat(*masks).alias("seeds"))
+    seeds = [picked_hashes("hashes", [i for i, c in enumerate(m) if c == "1"], NUMBERS[m]) for m in masks]
+    arrays = hashed.select(*keep, F.size("hashes").alias("n"), F.concat(*seeds).alias("seeds"))
+    # the masks' hashes stand one behind the other
+    place, start = F.lit(None).cast("int"), F.lit(0)
+    for m in masks:
+        place = F.when(F.col("i") >= start, F.col("i") - start).otherwise(place)
+        start = start + F.greatest(F.col("n") - (len(m) - 1), F.lit(0))
     # an outer generator, as the filter that belongs to an inner one is tested below and cuts each text again
     return (
         arrays.select(*keep, "n", F.posexplode_outer("seeds").alias("i", "seed"))
         .filter("seed IS NOT NULL")
-        .select(*keep, (F.col("i") % F.col("n")).alias("place"), "seed")
+        .select(*keep, place.alias("place"), "seed")
     )
 
 
 def _candidates(texts: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct text key, item and line (place of the item's first word in the text) of all hits."""
-    probe = _seeds(items, ["item"]).withColumnRenamed("place", "item_place")
+    length = F.least(F.size(words(F.col("text"))), F.lit(max(MASKS)))
+    lengths = sorted(r.length for r in items.select(length.alias("length")).distinct().collect() if r.length) or [max(MASKS)]
+    probe = reduce(DataFrame.union, [_seeds(items.filter(length == n), ["item"], MASKS[n]) for n in lengths])
+    probe = probe.withColumnRenamed("place", "item_place")
     if probe.count() <= BROADCAST_SEEDS:
         probe = F.broadcast(probe)
-    hits = _seeds(texts.select(*text_key(F.col("text")), "text"), KEYS).join(probe, "seed")
+    masks = list(dict.fromkeys(m for n in lengths for m in MASKS[n]))
+    hits = _seeds(texts.select(*text_key(F.col("text")), "text"), KEYS, masks).join(probe, "seed")
     return hits.select(*KEYS, "item", (F.col("place") - F.col("item_place")).alias("line")).distinct()
 
 
@@ -66,7 +94,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("item", F.xxhash64("item_id", "text"))
     )
-    item_words = known.select("item", "item_id", words(F.col("text")).alias("item_words")).filter(F.size("item_words") >= SPAN)
+    item_words = known.select("item", "item_id", words(F.col("text")).alias("item_words")).filter(F.size("item_words") > 0)
     lines = (
         _candidates(texts, known.select("item", "text"))
         .join(item_words.select("item", F.size("item_words").alias("n")), "item")
@@ -119,9 +147,14 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(held, (a == F.col("__key_a")) & (b == F.col("__key_b")), "left_anti")
 
 
+# Fixed values of the SQL: six of nine words each.
+SQL_MASKS = ("110101011", "101110011", "111001101")
+SPAN = len(SQL_MASKS[0])
+
+
 def _sql_seeds(table: str, keep: str) -> str:
     parts = []
-    for n, mask in enumerate(MASKS):
+    for n, mask in enumerate(SQL_MASKS):
         picked = " || ' ' || ".join(f"w[p + {i + 1}]" for i, c in enumerate(mask) if c == "1")
         parts.append(
             f"SELECT {keep}, p AS place, '{n} ' || {picked} AS seed "
