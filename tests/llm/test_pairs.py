@@ -68,6 +68,26 @@ def test_classes_in_a_group_around_the_limit(documents, monkeypatch, rare):
     assert found == expected
 
 
+def repeating_rows():
+    """Pairs of texts, one of which repeats a passage; their sets of shingles are alike by 0.8 or a little less."""
+    r = random.Random(6)
+    rows = []
+    for family, times in enumerate([10, 30, 100, 300, 1000] * 4):
+        base = [f"f{family}w{i}" for i in range(204)]
+        more = [f"f{family}e{i}" for i in range(r.choice([10, 35, 40, 60]))]
+        at = r.randrange(150)
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base[:at] + base[at : at + 40] * times + base[at + 40 :] + more))]
+    return rows
+
+
+def test_classes_of_texts_that_repeat_passages(documents):
+    rows = repeating_rows()
+    expected = brute_classes(rows)
+    assert 20 < len({c for c, _ in expected.values()}) < 35
+    found = {d.doc_id: (d.class_id, d.n_members) for d in nearcopies.classes(documents(rows)).collect()}
+    assert found == expected
+
+
 def test_one_of_each_class_stays(documents, odd, empty):
     rows = near_rows(3)
     expected = {c for c, _ in brute_classes(rows).values()}

@@ -1,12 +1,13 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A text is its five-word shingles, each with the weight 1 + ln(count). Every shingle sends arrivals, a Poisson process
+A text is its five-word shingles, once each with the weight 1 and once with the weight 1 + ln(count). Every shingle sends arrivals, a Poisson process
 at the rate of its weight, to random registers; a register keeps the shingle that arrives first. A shingle stops
 when its next arrival is later than all registers' first ones, so most stop at once. Two texts agree in a register with the
-probability of their probability Jaccard likeness.
+probability of their probability Jaccard likeness. With the weight 1 that is the Jaccard likeness of their sets, which is verified, however
+often a text repeats a passage. A text that repeats no shingle has the same registers both times.
 
-``BANDS`` bands of ``ROWS`` registers put texts into buckets: a pair at 0.8 shares one with a probability of
-1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets with others
+``BANDS`` bands of ``ROWS`` registers put texts into buckets, ``BANDS`` more of the other weights those that repeat shingles: a pair
+whose sets are alike by 0.8 shares one with a probability of 1 - (1 - 0.8^6)^32 > 0.9999. In each bucket all members are compared with the one that shares most buckets with others
 (an original lies closer to its copies than they lie to each other) and with another one, chosen by hash. Verified links
 (Jaccard likeness of the shingle sets of at least 0.8) make components. Where a bucket still holds several, the members
 outside its largest component are compared with one more of its members. For those that are still outside, candidates come in two
@@ -104,7 +105,7 @@ def registers(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, count:
 
 
 def bands(texts: list[str]) -> list[np.ndarray | None]:
-    """Band hashes of each text; None where it has no words."""
+    """Different band hashes of each text, by both weights; None where it has no words."""
     result: list[np.ndarray | None] = [None] * len(texts)
     waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
 
@@ -115,15 +116,16 @@ def bands(texts: list[str]) -> list[np.ndarray | None]:
         for j in range(ROWS):
             total = _mix(total + found.reshape(len(waiting), BANDS, ROWS)[:, :, j])
         for (i, *_), row in zip(waiting, total, strict=True):
-            result[i] = row.view(np.int64)
+            result[i] = row.view(np.int64) if result[i] is None else np.union1d(result[i], row.view(np.int64))
         waiting.clear()
 
     held = 0
     for i, text in enumerate(texts):
         element, times = np.unique(shingles(text), return_counts=True)
         if len(element):
-            waiting.append((i, element, 1 + np.log(times)))
-            held += len(element)
+            weights = [np.ones(len(element))] + ([1 + np.log(times)] if times.max() > 1 else [])
+            waiting.extend((i, element, weight) for weight in weights)
+            held += len(element) * len(weights)
             if held >= BATCH_SHINGLES:
                 finish()
                 held = 0
