@@ -243,6 +243,39 @@ def test_quotes_link_to_their_origin(spark):
     assert quotes.conversations(df.filter("conv_id > 9")).count() == 0
 
 
+def linked(spark, messages):
+    df = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    return {(r.conv_id, r.turn): r for r in quotes.conversations(df).collect()}
+
+
+def test_quotes_of_sentences_and_of_larger_conversations(spark):
+    long = " ".join(f"Sentence number {i} has its words here." for i in range(20))
+    found = linked(
+        spark,
+        [
+            (1, 0, "a", "We met at the old mill. The river was high that day! Go. On. Then. We. Left. Nobody came."),
+            (1, 1, "b", "> The river was high that day!\nWas it so?"),
+            (1, 2, "c", "> The river was high\n> that day! Go.\nIndeed it was."),
+            (2, 0, "d", "> Go. On. Then. We. Left.\nNo."),
+            (3, 0, "e", "> This passage stands in a larger conversation.\nIt does."),
+            (7, 0, "f", "A start. This passage stands in a larger conversation. An end."),
+            (8, 0, "g", long),
+            (9, 0, "h", "> " + " ".join(long.split()[7 * 3 : 7 * 14])),
+            # each quotes the other one, a third quotes one of them
+            (11, 0, "i", "> What the second one has to say here.\nWhat the first one has to say here."),
+            (12, 0, "j", "> What the first one has to say here.\nWhat the second one has to say here. Something for the third one, too."),
+            (10, 0, "k", "> Something for the third one, too.\nThanks."),
+            # a long chain without a cycle
+            *((20, t, "l", (f"> This is the {t - 1}th message here.\n" if t else "> This is where all begins.\n") + f"This is the {t}th message here.") for t in range(10)),
+            (30, 0, "m", "This is where all begins."),
+        ],
+    )
+    parent = {k: (r.parent_conv, r.parent_turn) for k, r in found.items() if r.parent_conv is not None}
+    chain = {(20, 0): (30, 0)} | {(20, t): (20, t - 1) for t in range(1, 10)}
+    assert parent == {(1, 1): (1, 0), (1, 2): (1, 0), (2, 0): (1, 0), (3, 0): (7, 0), (9, 0): (8, 0), (12, 0): (11, 0), (10, 0): (12, 0), **chain}
+    assert [tuple(p) for p in found[10, 0].reply_path] == [(11, 0), (12, 0), (10, 0)]
+
+
 def test_pipeline_on_a_small_corpus(spark, documents, tmp_path):
     r = random.Random(4)
     english = "the of and to in is that for it was on are with they this have from".split()

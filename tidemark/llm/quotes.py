@@ -1,10 +1,15 @@
 """Quotation linking: who answers whom, from the passages that messages quote.
 
 A line that starts with ``>`` signs is quoted, as deep as it has signs. Consecutive lines of one depth are a
-passage. Each passage, its paragraphs and its lines are hashed after normalisation (lower case, words only) and
-joined to the hashes of the same units in the messages' own text. A quoted unit belongs to the earliest message
-that holds it unquoted: in the same conversation first, else in another one if it has ``FOREIGN_WORDS`` words or
-more. A message never links to itself or to a later one (by conversation and turn), so links have no cycles.
+passage. Each passage, its paragraphs, its lines, its sentences and runs of sentences are hashed after normalisation (lower
+case, words only) and joined to the hashes of the same units in the messages' own text. Sentences end at ``.``, ``!``, ``?`` and
+blank lines, and once with and once without line ends, as quoting programs wrap lines anew. Runs have up to ``FOREIGN_WORDS``
+sentences, so every run of that many words holds one that counts, and 8, 16, 32 and so on, to prefer who holds more of it.
+
+A quoted unit belongs to the earliest message that holds it unquoted: before the message in the same conversation, else in another
+one if it has ``FOREIGN_WORDS`` words or more. Numbers of conversations state no order in time: the least other one that
+holds it is taken, be its number smaller or larger. Within a conversation links go back in turns; where links between
+conversations make a cycle, its least message (by conversation and turn) answers none.
 
 The parent of a message is the origin of its least deep linked passage; of several, the one with most linked
 words, then the first. Parents are followed to the first message by pointer doubling, in as many rounds as the
@@ -22,10 +27,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, text_or_empty
@@ -34,12 +40,13 @@ FOREIGN_WORDS = 5
 
 _MARKS = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
 _WORD = re.compile(r"\w+")
+_SENTENCE_ENDS = (re.compile(r"(?<=[.!?])\s+|\n\s*\n"), re.compile(r"(?<=[.!?])\s+|\n"))
 # How mail programs introduce a quote in four languages.
 _INTRODUCTION = re.compile(r"\s*(On|Am|Le|El)\b.*\b(wrote|schrieb.*|a écrit|escribió)\s*:\s*", re.IGNORECASE)
 
 PARSED = (
     "conv_id long, turn long, role string, body string, max_level int, "
-    "units array<struct<hash: long, words: int>>, "
+    "units array<long>, "
     "quotes array<struct<passage: int, level: int, hash: long, words: int>>"
 )
 
@@ -61,18 +68,44 @@ def passages(text: str) -> list[tuple[int, str]]:
     return [(level, "\n".join(lines)) for level, lines in found if "".join(lines).strip()]
 
 
-def units(text: str) -> dict[int, int]:
-    """Hash and word count of a passage, its paragraphs and its lines."""
+def _hash(words: str) -> int:
+    return xxhash.xxh64_intdigest(words) - 2**63
+
+
+def runs(sentences: list[str]) -> dict[int, int]:
+    """Hash and word count of every run of up to ``FOREIGN_WORDS`` sentences, and of 8, 16 and so on."""
     found = {}
+    total = list(accumulate((s.count(" ") + 1 for s in sentences), initial=0))
+    hashes: list[int] = []
+    for n in range(1, min(FOREIGN_WORDS, len(sentences)) + 1):
+        each = [_hash(" ".join(sentences[i : i + n])) for i in range(len(sentences) - n + 1)]
+        found.update({h: total[i + n] - total[i] for i, h in enumerate(each)})
+        hashes = each if n == 4 else hashes
+    n = 8
+    while n <= len(sentences):
+        hashes = [_hash(f"{hashes[i]} {hashes[i + n // 2]} of {n}") for i in range(len(sentences) - n + 1)]
+        found.update({h: total[i + n] - total[i] for i, h in enumerate(hashes)})
+        n *= 2
+    return found
+
+
+def units(text: str) -> dict[int, int]:
+    """Hash and word count of a passage, its paragraphs, its lines, its sentences and runs of sentences."""
+    found, earlier = {}, None
+    lines = "\n".join(text.lower().splitlines())
+    for ends in _SENTENCE_ENDS:
+        sentences = [s for s in (" ".join(_WORD.findall(part)) for part in ends.split(lines)) if s]
+        if sentences != earlier:
+            found.update(runs(sentences))
+        earlier = sentences
     for part in [text, *re.split(r"\n\s*\n", text), *text.splitlines()]:
         words = _WORD.findall(part.lower())
         if words:
-            found[xxhash.xxh64_intdigest(" ".join(words)) - 2**63] = len(words)
+            found[_hash(" ".join(words))] = len(words)
     return found
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unit = pa.struct([("hash", pa.int64()), ("words", pa.int32())])
     quote = pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("hash", pa.int64()), ("words", pa.int32())])
     for rows in batches:
         bodies, levels, own, quoted = [], [], [], []
@@ -82,9 +115,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             levels.append(max((level for level, _ in parts), default=0))
             mine = units(bodies[-1])
             for level, t in parts:
-                if level == 0:
+                if level == 0 and t != bodies[-1]:
                     mine.update(units(t))
-            own.append([{"hash": h, "words": n} for h, n in mine.items()])
+            own.append(list(mine))
             quoted.append(
                 [
                     {"passage": i, "level": level, "hash": h, "words": n}
@@ -95,7 +128,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
         yield pa.RecordBatch.from_arrays(
             [rows.column(0), rows.column(1), rows.column(2), pa.array(bodies, pa.string()), pa.array(levels, pa.int32()),
-             pa.array(own, pa.list_(unit)), pa.array(quoted, pa.list_(quote))],
+             pa.array(own, pa.list_(pa.int64())), pa.array(quoted, pa.list_(quote))],
             names=["conv_id", "turn", "role", "body", "max_level", "units", "quotes"],
         )
 
@@ -112,17 +145,21 @@ def links(parsed: DataFrame) -> DataFrame:
     known = parsed.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     quoted = known.filter(F.size("quotes") > 0).select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*").distinct()
     wanted = quoted.select("hash").distinct()
-    originals = known.select("conv_id", "turn", F.explode("units.hash").alias("hash")).join(wanted, "hash", "left_semi")
+    originals = known.select("conv_id", "turn", F.explode("units").alias("hash")).join(wanted, "hash", "left_semi")
     near = originals.groupBy("hash", "conv_id").agg(F.min("turn").alias("near_turn"))
-    first = originals.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    # the two least conversations, of which one is another; Spark drops the others before the shuffle
+    rank = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))
+    least = near.withColumn("rank", rank).filter("rank <= 2")
+    least = least.groupBy("hash").agg(F.sort_array(F.collect_list(F.struct("conv_id", F.col("near_turn").alias("turn")))).alias("least"))
     own = F.col("near_turn") < F.col("turn")
-    foreign = (F.col("words") >= FOREIGN_WORDS) & (F.col("first.conv_id") < F.col("conv_id"))
+    other = F.get(F.filter("least", lambda c: c["conv_id"] != F.col("conv_id")), F.lit(0))
+    foreign = (F.col("words") >= FOREIGN_WORDS) & other.isNotNull()
     found = (
         quoted.join(near, ["hash", "conv_id"], "left")
-        .join(first, "hash", "left")
+        .join(least, "hash", "left")
         .withColumn(
             "origin",
-            F.when(own, F.struct("conv_id", F.col("near_turn").alias("turn"))).when(foreign, F.col("first")),
+            F.when(own, F.struct("conv_id", F.col("near_turn").alias("turn"))).when(foreign, other),
         )
         .filter(F.col("origin").isNotNull())
     )
@@ -142,6 +179,26 @@ def parents(found: DataFrame) -> DataFrame:
     )
 
 
+def without_cycles(direct: DataFrame) -> DataFrame:
+    """The links but those of the least message of each cycle."""
+    # without a link to a larger conversation every link goes to a lesser message
+    if direct.filter(F.col("parent.conv_id") > F.col("message.conv_id")).isEmpty():
+        return direct
+    # each message's ancestor after so many steps, and the least message on the way; those that reach a first message leave
+    state = stored(direct.select("message", F.col("parent").alias("top"), F.col("message").alias("least")), "cycles")
+    steps, total = 1, state.count()
+    # beyond the number of links only cycles, and what leads to them, have ancestors
+    while steps <= total and not state.isEmpty():
+        above = state.select(F.col("message").alias("top"), F.col("top").alias("higher"), F.col("least").alias("upper"))
+        joined = state.join(above, "top")
+        state = stored(joined.select("message", F.col("higher").alias("top"), F.least("least", "upper").alias("least")), "cycles")
+        steps *= 2
+    # so many steps end inside a cycle and lead around it
+    inside = state.select(F.col("top").alias("message")).distinct()
+    cut = state.join(inside, "message").select(F.col("least").alias("message")).distinct()
+    return stored(direct.join(cut, "message", "left_anti"), "parents")
+
+
 def threads(direct: DataFrame) -> DataFrame:
     """Each linked message with its first ancestor and the path from it, by pointer doubling."""
     state = stored(direct.select("message", F.col("parent").alias("top"), F.array("parent", "message").alias("path")), "threads")
@@ -165,7 +222,7 @@ def threads(direct: DataFrame) -> DataFrame:
 def conversations(messages: DataFrame) -> DataFrame:
     """Every message without quotes, with its parent, thread and place in reply order."""
     parsed = stored(parse(messages), "messages")
-    direct = stored(parents(links(parsed)), "parents")
+    direct = without_cycles(stored(parents(links(parsed)), "parents"))
     paths = threads(direct).join(direct, "message").withColumnsRenamed({"parent": "p"})
     linked = paths.select(
         F.col("message.conv_id").alias("conv_id"), F.col("message.turn").alias("turn"), "p", "top", "path", "n_linked"
