@@ -4,7 +4,8 @@ Common words (the anchors) are spread evenly over running text and rare in menus
 makes one signature of itself and the ``CHAIN`` content words after it. A fingerprint is the set of
 signatures, written as sorted 32-bit numbers in hexadecimal, so equal texts have equal fingerprints. Two
 fingerprints are compared by Jaccard likeness; the number of signatures bounds it from above
-(min / max), so unlike lengths are pruned before sets are compared.
+(min / max), so ``jaccard`` can rule out unlike lengths before it compares sets. The query cannot use that: it returns
+the exact likeness of every pair that it is given. There is no search for near documents here.
 
 Where more than ``GAP`` words follow each other without an anchor (tables, other languages), every word of which
 the hash is divisible by three is an anchor too: that depends on the words around it only, so an edit elsewhere
