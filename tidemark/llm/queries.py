@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, suffixes, token_counts, toxicity
+from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, suffixes, token_counts, toxicity, vector_codes
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Registry
@@ -57,7 +57,15 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-SQL = {"op5_licenses": licenses.SQL, "op10_decontaminate": decontaminate.SQL}
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
 
-for build in (op1_suffixes, op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies, op10_decontaminate):
+
+SQL = {"op5_licenses": licenses.SQL, "op10_decontaminate": decontaminate.SQL, "op13_codes": vector_codes.SQL}
+
+BUILDS = (
+    op1_suffixes, op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies,
+    op10_decontaminate, op13_codes,
+)
+for build in BUILDS:
     QUERIES.add(build.__name__, build, SQL.get(build.__name__))
