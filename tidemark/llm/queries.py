@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, spots, suffixes, token_counts, toxicity, vector_codes
+from tidemark.llm import decontaminate, language, licenses, nearcopies, packing, quotes, rules, spelling, spots, suffixes, token_counts, toxicity, vector_codes
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Registry
@@ -57,6 +57,14 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings"))
 
@@ -65,7 +73,7 @@ SQL = {"op5_licenses": licenses.SQL, "op10_decontaminate": decontaminate.SQL, "o
 
 BUILDS = (
     op1_suffixes, op2_language, op3_spots, op4_quotes, op5_licenses, op6_toxicity, op7_packing, op8_token_counts, op9_near_copies,
-    op10_decontaminate, op13_codes,
+    op10_decontaminate, op11_spelling, op12_rules, op13_codes,
 )
 for build in BUILDS:
     QUERIES.add(build.__name__, build, SQL.get(build.__name__))
