@@ -54,9 +54,10 @@ def test_quantile_equals_builtin(spark, q):
     assert exact_quantile(df, "v", 0.5).first()[0] == statistics.median(whole)
 
 
-def test_quantile_with_many_cuts(spark):
-    """More cuts than fit one block, and a value that holds a third of the rows."""
-    spark.conf.set("spark.sql.shuffle.partitions", "60")
+@pytest.mark.parametrize("width", [1, 60])
+def test_quantile_with_any_number_of_ranges(spark, width):
+    """A value holds a third of the rows."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
     try:
         df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 700.0).otherwise(F.col("id") * 1.0).alias("v")).persist()
         for q in (0.01, 0.2, 0.37, 0.5, 0.993):
@@ -66,6 +67,34 @@ def test_quantile_with_many_cuts(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_quantile_scans_its_table_once(spark, tmp_path):
+    """Ranges are cut by Spark, none by a list in the plan or by a sketch on the driver."""
+    spark.range(4000).select((F.col("id") % 7).alias("g"), F.col("id").alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for rows in batches:
+            seen.add(rows.num_rows)
+            yield rows
+
+    result = exact_quantile(df.mapInArrow(count, df.schema), "v", 0.3, ["g"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "t") not in plan and "MapInArrow" not in plan
+    assert result.count() == 7 and seen.value == 4000
+
+
+def test_quantile_of_hot_group_is_spread(spark):
+    """A group with nearly all rows lies in many ranges; ranking reads only those with the wanted ranks."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(20_000).select(F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(0).alias("g"), F.col("id").alias("v"))
+        got = {r.g: r.quantile for r in exact_quantile(df, "v", 0.5, ["g"]).collect()}
+        assert got == {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("q")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_quantile_bounds(spark):
     with pytest.raises(ValueError):
         exact_quantile(spark.range(1), "id", 1.5)

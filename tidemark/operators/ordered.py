@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shuffle_width
+from tidemark.session import shuffle_width, stored
 
 Broken = Callable[[Callable[[str], Column], Callable[[str], Column], Column], Column]
 
@@ -99,22 +99,6 @@ def adjacent_violations(
     )
 
 
-def _below(value: Column, bounds: Column) -> Column:
-    return F.size(F.filter(bounds, lambda b: b < value))
-
-
-def _bin_of(value: Column, cuts: Sequence[float], block: int = 64) -> Column:
-    """Number of cuts below the value, found in two steps: the block, then the place in it."""
-    if not cuts:
-        return F.lit(0)
-    blocks = [list(cuts[i : i + block]) for i in range(0, len(cuts), block)]
-    if len(blocks) == 1:
-        return _below(value, F.array(*[F.lit(c) for c in cuts]))
-    number = _below(value, F.array(*[F.lit(b[0]) for b in blocks[1:]]))
-    table = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
-    return number * block + _below(value, F.element_at(table, number + 1))
-
-
 def exact_quantile(
     df: DataFrame,
     column: str,
@@ -124,50 +108,44 @@ def exact_quantile(
 ) -> DataFrame:
     """Interpolated quantile per group, equal to ``percentile(column, q)``, without a hot buffer.
 
-    The built-in keeps every distinct value of a group in one buffer. Here the distinct values are
-    counted first, cut into ranges at approximate quantiles (a bounded list fetched once), and only
-    the ranges that hold the wanted ranks are sorted.
+    The built-in keeps every distinct value of a group in one buffer. Here the distinct values of each group are counted and written in
+    ranges over group and value together, as many as there are shuffle partitions. A range knows how many rows of a group it
+    holds; these few totals say which ranges hold the wanted ranks, and only those are read again and ranked. The table is scanned once, and nothing
+    passes the driver.
     """
     if not 0 <= q <= 1:
         raise ValueError(f"q must be in [0, 1], got {q}")
     group = list(group_by)
-    pieces = min(max(4 * shuffle_width(df.sparkSession), 16), 4096)
-    value = F.col(column).cast("double")
     counts = (
         df.filter(F.col(column).isNotNull())
-        .groupBy(*group, value.alias("_v"))
+        .groupBy(*group, F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    cuts = sorted(
-        set(
-            df.select(value.alias("_v")).approxQuantile(
-                "_v", [i / pieces for i in range(1, pieces)], 0.5 / pieces
-            )
-        )
-    )
-    binned = counts.withColumn("_bin", _bin_of(F.col("_v"), cuts))
+    # written: ranges that are sampled anew for each reading would not be the same ones
+    width = shuffle_width(df.sparkSession)
+    ranged = stored(counts.repartitionByRange(width, *group, "_v").withColumn("_range", F.spark_partition_id()), "ranges")
 
-    # at most `pieces` rows per group
-    totals = binned.groupBy(*group, "_bin").agg(F.sum("_n").alias("_bin_n"))
+    # a row for each group and one more for each border of a range at most
+    totals = ranged.groupBy(*group, "_range").agg(F.sum("_n").alias("_in_range"))
     by_group = Window.partitionBy(*(group or [F.lit(0)]))
-    upto = by_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     position = F.lit(float(q)) * (F.col("_total") - 1)
     wanted = (
-        totals.withColumn("_total", F.sum("_bin_n").over(by_group))
-        .withColumn("_before", F.coalesce(F.sum("_bin_n").over(upto), F.lit(0)))
+        totals.withColumn("_total", F.sum("_in_range").over(by_group))
+        .withColumn("_before", F.coalesce(F.sum("_in_range").over(upto), F.lit(0)))
         .withColumn("_lo", F.floor(position))
         .withColumn("_hi", F.ceil(position))
         .withColumn("_pos", position)
-        .filter((F.col("_before") <= F.col("_hi")) & (F.col("_before") + F.col("_bin_n") > F.col("_lo")))
-        .drop("_bin_n", "_total")
+        .filter((F.col("_before") <= F.col("_hi")) & (F.col("_before") + F.col("_in_range") > F.col("_lo")))
+        .drop("_in_range", "_total")
     )
-    running = Window.partitionBy(*group, "_bin").orderBy("_v")
+    running = Window.partitionBy(*group, "_range").orderBy("_v")
     upper = F.col("_before") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
     # a group may be NULL
-    keys = [*group, "_bin"]
+    keys = [*group, "_range"]
     asked = wanted.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    same = [binned[k].eqNullSafe(asked[f"_of_{k}"]) for k in keys]
-    placed = binned.join(asked, same).drop(*(f"_of_{k}" for k in keys)).withColumn("_upper", upper)
+    same = [ranged[k].eqNullSafe(asked[f"_of_{k}"]) for k in keys]
+    placed = ranged.join(asked, same).drop(*(f"_of_{k}" for k in keys)).withColumn("_upper", upper)
     lower = F.col("_upper") - F.col("_n")
 
     def at(rank: str) -> Column:

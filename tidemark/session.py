@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes a result to the shared folder and reads it again: one evaluation, whoever loses an executor."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partition count for the explicit repartitions in this package."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
