@@ -1,4 +1,5 @@
 import sqlite3
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,26 @@ def test_database_upsert_sends_batches(spark, tmp_path):
         assert db.execute("SELECT count(*), min(value_segment) FROM seg").fetchone() == (5, "new")
 
 
+def test_refresh_from_itself_and_open_readers(spark):
+    path = scratch_path(spark, "refreshed")
+    S.refresh_table(spark.range(10).select("id", (F.col("id") % 2).alias("half")), path, ["half"])
+    opened = S.read_table(spark, path)
+    assert opened.columns == ["id", "half"]
+    S.refresh_table(opened.select((F.col("id") + 100).alias("id"), "half"), path, ["half"])
+    # the plan read its own target, and a reader of the version before stays whole
+    assert rows(S.read_table(spark, path).select("id")) == [(i,) for i in range(100, 110)]
+    assert rows(opened.select("id")) == [(i,) for i in range(10)]
+    assert S.refresh_table(S.read_table(spark, path), path) == 2 and len(list(Path(path).glob("version-*"))) == 2
+
+
+def test_half_written_refresh_is_not_seen(spark):
+    path = scratch_path(spark, "refreshed")
+    S.refresh_table(spark.range(3), path)
+    with pytest.raises(Exception, match="broken"):
+        S.refresh_table(spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id")), path)
+    assert S.read_table(spark, path).count() == 3
+
+
 def test_bad_message_stops_the_stream(spark, data):
     bus = scratch_path(spark, "bus")
     I.damaged_messages(spark, data).write.parquet(bus)

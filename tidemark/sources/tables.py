@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.keys import row_checksum
 from tidemark.operators.envelope import LOG_SCHEMA
 from tidemark.operators.merge import EntitySpec, last_changes, live_rows, merge_changes
+from tidemark.sources.versions import VersionLog
 
 __all__ = [
     "read_table",
@@ -29,10 +31,16 @@ __all__ = [
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A catalog table by name, or parquet files by path."""
-    if "/" in name_or_path:
+    """A catalog table by name, or parquet files by path: the current version where ``refresh_table`` keeps versions."""
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    log = VersionLog(spark, name_or_path)
+    found = log.latest()
+    if found is None:
         return spark.read.parquet(name_or_path)
-    return spark.table(name_or_path)
+    state = found[1]
+    schema = T.StructType.fromJson(state["schema"])
+    return spark.read.schema(schema).parquet(log.path(state["folders"][-1])).select(schema.names)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -71,91 +79,131 @@ def empty_entity(spark: SparkSession, spec: EntitySpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class EntityStore:
-    """An entity kept as bucketed table versions behind a view, with a small table of pending changes.
+    """An entity kept as bucketed versions in one location, with a list of pending changes.
 
-    Each version is an ordinary Spark table bucketed and sorted by the entity key, so merging a batch
-    shuffles the batch only, never the table. A new version is complete before the view moves to it;
-    readers never see half a write.
+    Each version is bucketed and sorted by the entity key. Pending changes are exchanged into the same buckets, so a merge shuffles them only and
+    never the version, whatever the number of shuffle partitions. A bucket that outgrew ``bucket_rows`` is divided by the next settlement, which
+    doubles the buckets: rows only move within their task.
 
-    ``append`` only adds a batch to the pending changes, so its cost follows the batch and not the
-    table; readers fold the pending changes in. ``settle`` merges them into a new version. One writer
-    per entity is assumed.
+    ``append`` only adds a batch to the pending changes, so its cost follows the batch and not the table; readers fold the pending changes in.
+    ``settle`` merges them into a new version. What is current is said by the files of a ``VersionLog``: any session opens the
+    store by its location, readers never see half a write, and the ``keep`` last versions stay. One writer per entity; a second one fails.
     """
 
     spark: SparkSession
-    database: str
+    location: str
     spec: EntitySpec
     buckets: int = 64
     keep: int = 2
+    bucket_rows: int = 10_000_000
 
     @property
-    def view(self) -> str:
-        return f"{self.database}.{self.spec.entity}"
+    def log(self) -> VersionLog:
+        return VersionLog(self.spark, self.location)
 
-    def _table(self, version: int) -> str:
-        return f"{self.database}.{self.spec.entity}__v{version}"
-
-    def _pending(self, version: int) -> str:
-        return f"{self.database}.{self.spec.entity}__pending_v{version}"
-
-    def ensure(self, location: str | None = None) -> EntityStore:
-        where = f" LOCATION '{location}'" if location else ""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{where}")
-        if not self.spark.catalog.tableExists(self.view):
-            self._write(empty_entity(self.spark, self.spec), 0)
+    def ensure(self) -> EntityStore:
+        """Creates the store where there is none; the buckets of an existing one stay."""
+        if self.log.latest() is None:
+            self._publish(empty_entity(self.spark, self.spec), self.buckets, -1, None)
         return self
 
+    def _state(self) -> tuple[int, dict]:
+        found = self.log.latest()
+        if found is None:
+            raise ValueError(f"there is no store at {self.location}; call ensure()")
+        return found
+
     def version(self) -> int:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.view}").filter("key = 'version'").take(1)
-        return int(rows[0]["value"])
+        return self._state()[1]["version"]
+
+    def due(self, share: float) -> bool:
+        """Whether the pending changes are more than ``share`` of the rows stored."""
+        state = self._state()[1]
+        return state["pending_rows"] > share * state["rows"]
+
+    def _table(self, folder: str) -> str:
+        return f"{self.spec.entity}_{folder}".replace("-", "_")
+
+    def _stored(self, state: dict) -> DataFrame:
+        # the catalog of this session may not know the version yet; its bucketing makes the merge free of a shuffle
+        schema = T.StructType.fromJson(state["schema"])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        key = ", ".join(f"`{k}`" for k in self.spec.key)
+        name = self._table(state["folder"])
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+            f"INTO {state['buckets']} BUCKETS LOCATION '{self.log.path(state['folder'])}'"
+        )
+        return self.spark.table(name)
+
+    def _pending(self, state: dict) -> DataFrame:
+        if not state["pending"]:
+            return empty_entity(self.spark, self.spec)
+        changes = self.spark.read.schema(self.spec.schema).parquet(*map(self.log.path, state["pending"]))
+        # a batch holds a key once, so no bucket is hot
+        return last_changes(changes.repartition(state["buckets"], *self.spec.key), self.spec)
+
+    def _merged(self, state: dict) -> DataFrame:
+        if not state["pending"]:
+            return self._stored(state)
+        return merge_changes(self._stored(state), self._pending(state), self.spec)
 
     def stored(self) -> DataFrame:
         """Current version with tombstones, without pending changes."""
-        return self.spark.table(self._table(self.version()))
+        return self._stored(self._state()[1])
 
     def pending(self) -> DataFrame:
         """Last pending change per key."""
-        changes = self.spark.table(self._pending(self.version()))
-        return last_changes(changes, self.spec)
+        return self._pending(self._state()[1])
 
     def read(self) -> DataFrame:
         """Live rows, pending changes included."""
-        return live_rows(self.merged_plan(self.pending()))
+        return live_rows(self._merged(self._state()[1]))
 
-    def _write(self, df: DataFrame, version: int) -> None:
+    def _publish(self, df: DataFrame, buckets: int, number: int, before: dict | None) -> int:
+        """Writes ``df`` as the next version, makes it current and drops the oldest one."""
+        folder, counted = self.log.folder("version"), Observation()
         (
-            df.write.format("parquet")
-            .mode("overwrite")
-            .bucketBy(self.buckets, *self.spec.key)
+            df.observe(counted, F.count(F.lit(1)).alias("n"))
+            .write.format("parquet")
+            .option("path", self.log.path(folder))
+            .bucketBy(buckets, *self.spec.key)
             .sortBy(*self.spec.key)
-            .saveAsTable(self._table(version))
-        )
-        empty_entity(self.spark, self.spec).write.format("parquet").mode("overwrite").saveAsTable(
-            self._pending(version)
-        )
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view} TBLPROPERTIES ('version' = '{version}') "
-            f"AS SELECT * FROM {self._table(version)}"
+            .saveAsTable(self._table(folder))
         )
-
-    def publish(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version, move the view, drop the oldest version."""
-        version = self.version() + 1
-        self._write(df, version)
-        if version >= self.keep:
-            for name in (self._table(version - self.keep), self._pending(version - self.keep)):
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        return version
+        # what each earlier version needs, and the number of the state that made it
+        old = [] if before is None else [*before["old"], [before["first"], before["folder"], *before["pending"]]]
+        stay, gone = old[-(self.keep - 1) :] if self.keep > 1 else [], old[: -(self.keep - 1)] if self.keep > 1 else old
+        state = {
+            "version": 0 if before is None else before["version"] + 1, "folder": folder, "buckets": buckets, "rows": counted.get["n"],
+            "schema": df.schema.jsonValue(), "pending": [], "pending_rows": 0, "first": number + 1, "old": stay,
+        }
+        self.log.add(number + 1, state)
+        for _, gone_folder, *_ in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(gone_folder)}")
+        if gone:
+            self.log.forget((name for _, *names in gone for name in names), stay[0][0] if stay else number + 1)
+        return state["version"]
 
     def append(self, changes: DataFrame) -> None:
-        """Add a batch of typed changes; repeating a batch changes nothing."""
-        changes.select(*self.spec.schema.names).write.mode("append").saveAsTable(
-            self._pending(self.version())
-        )
+        """Adds a batch of typed changes, one of a key at most; repeating a batch changes nothing."""
+        number, state = self._state()
+        folder, counted = self.log.folder("pending"), Observation()
+        rows = changes.select(*self.spec.schema.names).observe(counted, F.count(F.lit(1)).alias("n"))
+        rows.write.parquet(self.log.path(folder))
+        state["pending_rows"] += counted.get["n"]
+        state["pending"].append(folder)
+        self.log.add(number + 1, state)
 
     def settle(self) -> int:
-        """Merge the pending changes into a new version."""
-        return self.publish(self.merged_plan(self.pending()))
+        """Merges the pending changes into a new version."""
+        number, state = self._state()
+        if not state["pending"]:
+            return state["version"]
+        buckets = state["buckets"]
+        while state["rows"] + state["pending_rows"] > buckets * self.bucket_rows:
+            buckets *= 2
+        return self._publish(self._merged(state), buckets, number, state)
 
     def merge(self, changes: DataFrame) -> int:
         """Append a batch and settle at once."""
@@ -163,17 +211,26 @@ class EntityStore:
         return self.settle()
 
     def merged_plan(self, changes: DataFrame) -> DataFrame:
-        return merge_changes(self.stored(), changes, self.spec)
+        """The current version with other changes (one per key) merged in, exchanged into its buckets."""
+        state = self._state()[1]
+        return merge_changes(self._stored(state), changes.repartition(state["buckets"], *self.spec.key), self.spec)
 
 
-def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a derived table.
+def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2) -> int:
+    """Full rebuild of a derived table as a new version; readers of the last ``keep`` versions stay whole, and ``df`` may read the table itself.
 
     Rows are rebalanced by the partition columns: Spark splits a partition that holds most of the
-    rows over several tasks and joins small ones, so files have an even size.
+    rows over several tasks and joins small ones, so files have an even size. ``read_table`` finds the current version.
     """
+    log = VersionLog(df.sparkSession, path)
+    number, state = log.latest() or (-1, {"folders": []})
     rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    folder = log.folder("version")
+    rows.write.partitionBy(*partition_by).parquet(log.path(folder))
+    folders = [*state["folders"], folder]
+    log.add(number + 1, {"folders": folders[-keep:], "schema": df.schema.jsonValue()})
+    log.forget(folders[:-keep], number + 2 - keep)
+    return number + 1
 
 
 def checksum(df: DataFrame, sums: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:

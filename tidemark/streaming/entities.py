@@ -9,58 +9,74 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.merge import latest_events, typed_changes
+from tidemark.session import stored
 from tidemark.sources.tables import EntityStore
 
-__all__ = ["apply_batch", "start_entities", "replay"]
+__all__ = ["apply_batch", "start_entities", "ingest_window", "replay"]
 
 
-def apply_batch(
-    log_batch: DataFrame, stores: Mapping[str, EntityStore], settle: bool = True
-) -> None:
-    """Fold a batch of log rows into the entity tables.
-
-    Applying a batch again changes nothing: a row is replaced only by a higher ordering key.
-    """
+def _fold(latest: DataFrame, stores: Mapping[str, EntityStore], settle_share: float) -> None:
+    """Adds the latest events of all entities to their stores; a store with enough pending rows is settled."""
     applied_at = F.current_timestamp()
     for entity, store in stores.items():
-        latest = latest_events(log_batch, entity)
-        store.append(typed_changes(latest, store.spec, applied_at))
-        if settle:
+        store.append(typed_changes(latest.filter(F.col("entity") == entity), store.spec, applied_at))
+        if store.due(settle_share):
             store.settle()
 
 
+def apply_batch(log_batch: DataFrame, stores: Mapping[str, EntityStore], settle_share: float = 0.0) -> None:
+    """Fold a batch of log rows into the entity tables.
+
+    The batch is read and its latest events are found once for all entities. Applying a batch again changes nothing: a row is replaced only by a
+    higher ordering key.
+    """
+    latest = latest_events(log_batch.filter(F.col("entity").isin(*stores))).persist()
+    try:
+        _fold(latest, stores, settle_share)
+    finally:
+        latest.unpersist()
+
+
 def start_entities(
     log_stream: DataFrame,
     stores: Mapping[str, EntityStore],
     checkpoint: str,
     trigger: str | None = None,
-    settle_every: int = 1,
+    settle_share: float = 0.25,
 ) -> StreamingQuery:
-    """Apply each micro-batch as pending changes and settle them every ``settle_every`` batches.
+    """Apply each micro-batch as pending changes; a store is settled once they are more than ``settle_share`` of its rows.
 
-    Between two settlements a batch costs what its own rows cost; readers see it at once.
+    So a row is rewritten a bounded number of times while the table doubles, and between two settlements a batch costs what its own rows
+    cost; readers see it at once.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read once per entity
-        batch.persist()
-        try:
-            apply_batch(batch, stores, settle=(batch_id + 1) % settle_every == 0)
-        finally:
-            batch.unpersist()
+    def merge(batch: DataFrame, _: int) -> None:
+        apply_batch(batch, stores, settle_share)
 
     writer = log_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def replay(
-    log: DataFrame, stores: Mapping[str, EntityStore], start=None, end=None
-) -> None:
-    """Fold a whole log, or an ingest-time window of it, into the entity tables again."""
-    rows = log
+def ingest_window(log: DataFrame, start=None, end=None) -> DataFrame:
+    """Log rows ingested from ``start`` to before ``end``; days outside are pruned where the log is partitioned by ``ingest_date``."""
+    rows, by_day = log, "ingest_date" in log.columns
     if start is not None:
-        rows = rows.filter(F.col("ingest_time") >= F.lit(start).cast("timestamp"))
+        start = F.lit(start).cast("timestamp")
+        rows = rows.filter(F.col("ingest_time") >= start)
+        rows = rows.filter(F.col("ingest_date") >= F.to_date(start)) if by_day else rows
     if end is not None:
-        rows = rows.filter(F.col("ingest_time") < F.lit(end).cast("timestamp"))
-    apply_batch(rows, stores)
+        end = F.lit(end).cast("timestamp")
+        rows = rows.filter(F.col("ingest_time") < end)
+        rows = rows.filter(F.col("ingest_date") <= F.to_date(end)) if by_day else rows
+    return rows
+
+
+def replay(log: DataFrame, stores: Mapping[str, EntityStore], start=None, end=None, settle_share: float = 0.0) -> None:
+    """Fold a whole log, or an ingest-time window of it, into the entity tables again.
+
+    The window is read and parsed once: the latest events of all entities are written before they are dealt out, so that a
+    lost executor repeats no more than its own share.
+    """
+    rows = ingest_window(log, start, end).filter(F.col("entity").isin(*stores))
+    _fold(stored(latest_events(rows), "replay"), stores, settle_share)

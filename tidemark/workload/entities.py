@@ -13,6 +13,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables as S
 from tidemark.sources import writeback as W
 from tidemark.sources.bus import decode_text, topic_entity
+from tidemark.streaming.entities import replay
 from tidemark.workload.registry import Registry
 from tidemark.workload.sql import FACTS, LOG, SEGMENTS, with_
 
@@ -278,10 +279,26 @@ def _compacted(s, d):
     return s.read.parquet(large)
 
 
+ENTITIES = ("users", "orders", "payments")
+
+
+def stores(s, buckets=8):
+    """A store for each entity; whoever knows the location can open it again."""
+    return {e: S.EntityStore(s, scratch_path(s, f"store_{e}"), G.ENTITY_SPECS[e], buckets=buckets).ensure() for e in ENTITIES}
+
+
+def all_rows(of):
+    """Rows of all entities, one under the other."""
+    frames = [of[e].drop("_silver_updated_at").withColumn("entity", F.lit(e)) for e in ENTITIES]
+    return frames[0].unionByName(frames[1], allowMissingColumns=True).unionByName(frames[2], allowMissingColumns=True)
+
+
+ALL_ROWS = " UNION ALL BY NAME ".join(f"SELECT * EXCLUDE (_silver_updated_at), '{e}' AS entity FROM silver_{e}" for e in ENTITIES)
+
+
 def _store_merged(s, d):
     spec = G.ENTITY_SPECS["orders"]
-    name = "tidemark_" + scratch_path(s, "x").rsplit("-", 1)[1]
-    store = S.EntityStore(s, name, spec, buckets=8).ensure(scratch_path(s, "store"))
+    store = stores(s)["orders"]
     log = change_log(s, d, "orders")
     split = F.unix_millis(F.lit(MIDDLE).cast("timestamp"))
     store.merge(G.fold_log(log.filter(F.col("kafka_timestamp") >= split), spec, _applied_at()))
@@ -290,11 +307,23 @@ def _store_merged(s, d):
     return store.read()
 
 
+def _replayed_all(s, d):
+    """All entities from the stored log: its later days first, then all days again, which changes nothing that is newer."""
+    path = scratch_path(s, "log")
+    log = change_log(s, d).withColumn("ingest_time", F.timestamp_millis("kafka_timestamp"))
+    S.with_ingest_date(log).hint("rebalance", F.col("ingest_date")).write.partitionBy("ingest_date").parquet(path)
+    kept, tables = s.read.parquet(path), stores(s)
+    replay(kept, tables, start=MIDDLE)
+    replay(kept, tables)
+    return all_rows({e: store.read() for e, store in tables.items()})
+
+
 add("table_scan", lambda s, d: S.read_table(s, f"{d}/nation.parquet").join(S.read_table(s, f"{d}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name"),
     "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 add("full_refresh", _refreshed, with_(FACTS, "SELECT * FROM dim_users"))
 add("copy_verified", _copied, "SELECT CAST(COUNT(*) AS BIGINT) AS source_rows, CAST(COUNT(*) AS BIGINT) AS target_rows FROM orders")
 add("compacted_events", _compacted, "SELECT * FROM events")
+add("replay_all", _replayed_all, with_(LOG, ALL_ROWS))
 add("bucketed_store_orders", _store_merged, with_(LOG, "SELECT * FROM silver_orders"))
 
 
