@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``limit`` bytes of text in the column (one row at least)."""
+    for rows in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(rows.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < rows.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield rows.slice(start, stop - start)
+            start = stop
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes a result to the shared folder and reads it again: cuts the plan, survives executors."""
     path = scratch_path(df.sparkSession, label)
