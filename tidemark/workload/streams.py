@@ -105,6 +105,65 @@ def _sessions(s, d):
     return s.read.parquet(out)
 
 
+def _landed(s, d):
+    """Events as they land in four days: by event time in three parts, but every seventh event one day later and every eleventh two."""
+    third = F.when(F.col("ts") < "2024-01-11", 1).when(F.col("ts") < "2024-01-21", 2).otherwise(3)
+    delayed = F.when(F.col("event_id") % 11 == 0, 2).when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    return I.table(s, d, "events").withColumn("landing", F.least(third + delayed, F.lit(4)))
+
+
+def _land_in_turn(s, d, start):
+    """Each landing is streamed to its end before the next one comes."""
+    landed, bus = _landed(s, d), scratch_path(s, "bus")
+    for number in range(1, 5):
+        landed.filter(F.col("landing") == number).write.mode("append").parquet(bus)
+        start(s.readStream.schema(landed.schema).parquet(bus)).awaitTermination()
+    return s.read.schema(landed.schema).parquet(bus)
+
+
+_RATE = ("ts", "6 hours", "12 hours", ["event_type"])
+
+
+def _late_rows(s, d):
+    """The stream's own windows beside the rows that it dropped and those that it still holds."""
+    out, ckpt = scratch_path(s, "rate"), scratch_path(s, "ckpt")
+    landed = _land_in_turn(s, d, lambda stream: log.append_stream(rates.rate_stream(stream, *_RATE), out, ckpt))
+    return rates.reconcile_windows(landed, s.read.parquet(out), *_RATE)
+
+
+def _late_events(s, d):
+    marked = rates.with_lateness(_landed(s, d), "ts", "landing", "6 hours", "12 hours")
+    return marked.filter(F.col("lateness") != "kept").select("event_id", "event_type", "window_end", "lateness")
+
+
+def _windows_by_state(s, d):
+    return rates.windows_by_state(rates.with_lateness(_landed(s, d), "ts", "landing", "6 hours", "12 hours"), ["event_type"])
+
+
+_LATENESS = """
+landed AS (
+  SELECT event_id, event_type, CAST(ts AS TIMESTAMP) AS ts,
+    least(4, CASE WHEN ts < '2024-01-11' THEN 1 WHEN ts < '2024-01-21' THEN 2 ELSE 3 END
+      + CASE WHEN event_id % 11 = 0 THEN 2 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS landing
+  FROM events
+), marks AS (
+  SELECT l.landing, date_trunc('millisecond', max(e.ts)) - INTERVAL 12 HOUR AS watermark
+  FROM range(1, 6) l(landing) JOIN landed e ON e.landing < l.landing GROUP BY l.landing
+), placed AS (
+  SELECT e.*, time_bucket(INTERVAL 6 HOUR, e.ts, TIMESTAMP '2024-01-01') AS window_start, m.watermark,
+    (SELECT watermark FROM marks WHERE landing = 5) AS last_watermark
+  FROM landed e LEFT JOIN marks m ON m.landing = e.landing
+), marked AS (
+  SELECT event_id, event_type, window_start, window_start + INTERVAL 6 HOUR AS window_end,
+    CASE WHEN window_start + INTERVAL 6 HOUR <= watermark THEN 'late' WHEN window_start + INTERVAL 6 HOUR > last_watermark THEN 'open' ELSE 'kept' END AS lateness
+  FROM placed
+)"""
+_STATES = with_(
+    _LATENESS,
+    "SELECT window_start, window_end, event_type, "
+    + ", ".join(f"CAST(COUNT(*) FILTER (lateness = '{state}') AS BIGINT) AS {state}" for state in ("kept", "late", "open"))
+    + " FROM marked GROUP BY 1, 2, 3",
+)
 _BRONZE = with_(LOG, f"SELECT {', '.join(_COLUMNS)} FROM bronze")
 add("stream_log_append", _log_append, _BRONZE)
 add("stream_log_restart", _log_restart, _BRONZE)
@@ -117,6 +176,9 @@ add(
     "CAST(COUNT(*) AS BIGINT) AS n FROM events WHERE event_type <> 'signup' GROUP BY 1",
 )
 add("stream_entities", _entities, with_(LOG, ALL_ROWS))
+add("stream_late_rows", _late_rows, _STATES)
+add("windows_by_state", _windows_by_state, _STATES)
+add("late_events", _late_events, with_(_LATENESS, "SELECT event_id, event_type, window_end, lateness FROM marked WHERE lateness <> 'kept'"))
 add(
     "stream_event_rate",
     _event_rate,
