@@ -55,8 +55,12 @@ def with_lateness(log: DataFrame, column: str, arrival: str, window: str, delay:
     earlier = Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_first("_arrival")).rowsBetween(Window.unboundedPreceding, -1)
     marks = newest.withColumn("_before", F.max("_newest").over(earlier)).select("_arrival", _delayed("_before", delay).alias("_watermark"))
     last = newest.agg(F.max("_newest").alias("_all")).select(_delayed("_all", delay)).scalar()
-    cut = F.window(F.col(column), window)
-    placed = timed.withColumn("window_start", cut["start"]).withColumn("window_end", cut["end"])
+    # window() drops rows without a time
+    cut = F.window(F.coalesce(F.col(column), F.timestamp_seconds(F.lit(0))), window)
+    has_time = F.col(column).isNotNull()
+    placed = timed.withColumn("_cut", cut).withColumns(
+        {"window_start": F.when(has_time, F.col("_cut.start")), "window_end": F.when(has_time, F.col("_cut.end"))}
+    ).drop("_cut")
     joined = placed.join(marks, placed[arrival].eqNullSafe(marks["_arrival"]), "left")
     lateness = (
         F.when(F.col(column).isNull(), "untimed")
