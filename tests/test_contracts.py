@@ -7,6 +7,8 @@ from tidemark.contracts import (
     CDC_CONTRACTS, METRIC_CONTRACTS, Contract, FieldRule, constraint_column, contract_from_dict, evolution_violations, load_contracts,
 )
 
+from tidemark.operators.merge import EntitySpec
+
 DOC = {
     "entity": "things",
     "primary_key": ["thing_id"],
@@ -52,3 +54,14 @@ def test_constraints(spark):
     for bad in ("> 1; drop", "between 1 and 2", ""):
         with pytest.raises(ValueError):
             constraint_column(F.col("a"), bad)
+
+
+def test_decimal_setting_of_the_connector_names_the_encoding():
+    orders = CDC_CONTRACTS["orders"].with_decimals("precise")
+    assert {n: r.encoding for n, r in orders.fields.items() if r.encoding != "number"} == {"total_amount": "bytes"}
+    assert EntitySpec.from_contract(orders).encodings == (("total_amount", "bytes"),)
+    assert EntitySpec.from_contract(orders.with_decimals("string")).encodings == ()
+    doc = {"entity": "x", "primary_key": "id", "schema": {"fields": {"id": {"type": "int64"}, "v": {"type": "decimal(9,2)", "encoding": "bytes"}}}}
+    assert EntitySpec.from_contract(contract_from_dict(doc)).encodings == (("v", "bytes"),)
+    with pytest.raises(KeyError):
+        orders.with_decimals("guess")

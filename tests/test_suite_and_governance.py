@@ -93,3 +93,16 @@ def test_compare_runs(spark):
 
     got = rows(V.compare_runs([run(125000.5, 4200), run(125000.505, 4200), run(125000.5, 4201)]))
     assert got == [("order_count", 4200.0, 4200.0, 4201.0, False), ("total_gmv", 125000.5, 125000.505, 125000.5, True)]
+
+
+def test_payload_shape_of_odd_payloads(spark):
+    texts = ['{"a": 1, "b": {"c": [1, 2.5]}}', '{"a": 2.5, "b": {"d": "x"}}', '{"a": null, "b": null}', '{"a": "x"}', "[1]", "7", "null", "{", "", None, "{}"]
+    shape = V.payload_shape(spark.createDataFrame([(t, 1) for t in texts], "p string, value int").select("p", "value"), "p")
+    assert rows(shape) == [("a", 4, 1, "VARIANT"), ("b", 3, 1, "OBJECT<c: ARRAY<DECIMAL(21,1)>, d: STRING>")]
+    assert V.payload_shape(spark.createDataFrame([], "p string"), "p").count() == 0
+
+
+def test_fields_are_numbered_over_ranges(spark):
+    profile = spark.range(300).select(F.concat(F.lit("f"), F.lpad((F.col("id") % 90).cast("string"), 3, "0")).alias("field"))
+    assert [r.field for r in V.observed_fields(profile).orderBy("position").collect()] == [f"f{i:03}" for i in range(90)]
+    assert V.observed_fields(profile.limit(0)).count() == 0

@@ -18,7 +18,29 @@ def test_compact_joins_small_files(spark, data):
     small, large = scratch_path(spark, "small"), scratch_path(spark, "large")
     I.table(spark, data, "events").repartition(20).write.partitionBy("event_type").parquet(small)
     result = S.compact(spark, small, large, ["event_type"], ["value"])
-    assert result["files_after"] < result["files_before"]
+    assert result.count() == 5 and result.filter("files_after >= files_before").count() == 0
+    assert rows(S.read_table(spark, large).select("event_id")) == rows(I.table(spark, data, "events").select("event_id"))
+
+
+def test_compact_takes_partitions_with_small_files_only(spark):
+    small, large = scratch_path(spark, "small"), scratch_path(spark, "large")
+    part = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 8).cast("int")
+    day = F.when(F.col("id") % 3 == 2, None).otherwise(F.concat(F.lit("d"), F.col("id") % 3))
+    spark.range(600).withColumn("day", day).repartitionById(8, part).write.partitionBy("day").parquet(small)
+    result = S.compact(spark, small, large, ["day"], ["id"], small_bytes=1 << 20)
+    assert rows(result) == [("d1", 8, 1), (None, 8, 1)]
+    assert spark.read.parquet(large).count() == 400
+    # nothing is small at this size
+    assert S.compact(spark, small, scratch_path(spark, "large"), ["day"], small_bytes=1).count() == 0
+    whole = S.compact(spark, small, scratch_path(spark, "large"))
+    assert rows(whole) == [(17, 1)]
+
+
+def test_file_sizes_read_partition_columns_only(spark):
+    path = scratch_path(spark, "wide")
+    spark.range(50).select("id", F.lit("x").alias("wide"), (F.col("id") % 2).alias("half")).write.partitionBy("half").parquet(path)
+    plan = S.file_sizes(spark.read.parquet(path), ["half"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
 
 
 def test_checksum_sees_a_changed_row(spark):

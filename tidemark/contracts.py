@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import Column
@@ -39,6 +39,9 @@ TYPE_NAMES = {
     "boolean": "boolean",
 }
 
+# Decimal settings of the change-capture connector and how they write a decimal.
+DECIMAL_HANDLING = {"precise": "bytes", "double": "number", "string": "number"}
+
 # Source topics and their entities.
 TOPIC_ENTITIES = {
     "dbserver_docker.public.users": "users",
@@ -55,6 +58,8 @@ class FieldRule:
     constraints: tuple[str, ...] = ()
     pii: bool = False
     has_default: bool = False
+    #: how the source writes decimals: ``number``, or ``bytes`` for base64 text of the unscaled integer
+    encoding: str = "number"
 
     @property
     def spark_type(self) -> str:
@@ -81,6 +86,13 @@ class Contract:
             [T.StructField(n, _data_type(r.spark_type), True) for n, r in self.fields.items()]
         )
 
+    def with_decimals(self, handling: str) -> Contract:
+        """The contract for a connector with this decimal setting; fields that are no decimals stay as they are."""
+        coded = DECIMAL_HANDLING[handling]
+        return replace(
+            self, fields={n: replace(r, encoding=coded) if r.spark_type.startswith("decimal") else r for n, r in self.fields.items()}
+        )
+
     def allows(self, change: str) -> bool:
         """Evolution policy for ``add_column``, ``drop_column`` or ``change_type``."""
         return self.evolution.get(change, change == "add_column")
@@ -121,6 +133,7 @@ def contract_from_dict(doc: Mapping) -> Contract:
                 constraints=tuple(spec.get("constraints") or ()),
                 pii=bool(spec.get("pii", False)),
                 has_default="default" in spec,
+                encoding=spec.get("encoding", "number"),
             )
             for name, spec in declared.items()
         },

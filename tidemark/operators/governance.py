@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import Contract, constraint_column
 from tidemark.functions.keys import mask_email
-from tidemark.operators.ordered import adjacent_violations
+from tidemark.operators.ordered import adjacent_violations, numbered
 from tidemark.operators.suite import GroupCheck, RowCheck, run_checks
 
 __all__ = [
@@ -120,12 +120,24 @@ def payload_profile(df: DataFrame, payload: str, group_by: Sequence[str] = ()) -
     )
 
 
+def payload_shape(df: DataFrame, payload: str, group_by: Sequence[str] = ()) -> DataFrame:
+    """Fields of JSON payloads with their merged type, nested objects and arrays included.
+
+    ``inferred`` is the one type that fits all values of a field: numbers widen, objects merge field by field, arrays by their elements, and what fits
+    nothing else is a VARIANT. Types are merged map-side. Payloads that are no JSON objects have no fields.
+    """
+    opened = df.select(*group_by, F.try_parse_json(F.col(payload)).alias("_payload")).filter(F.col("_payload").isNotNull())
+    fields = opened.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_payload").outer())).filter(F.col("key").isNotNull())
+    return fields.groupBy(*group_by, F.col("key").alias("field")).agg(
+        F.count(F.lit(1)).alias("seen"),
+        F.count_if(F.is_variant_null("value")).alias("nulls"),
+        F.schema_of_variant_agg("value").alias("inferred"),
+    )
+
+
 def observed_fields(profile: DataFrame) -> DataFrame:
     """Field list ``(field, position)`` of a profile, in name order, for the field rules."""
-    by_name = Window.partitionBy(F.lit(0)).orderBy("field")
-    # one row per distinct field name is left before the window
-    names = profile.select("field").distinct()
-    return names.select((F.row_number().over(by_name) - 1).alias("position"), "field")
+    return numbered(profile.select("field").distinct(), ["field"], "position")
 
 
 def profile_against_contract(profile: DataFrame, contract: Contract) -> DataFrame:

@@ -40,13 +40,13 @@ _AUDIT = T.StructType(
 class EntitySpec:
     """What the merge needs to know about an entity; a new nullable field is just one more entry.
 
-    ``decimals`` names how the source writes decimals: ``number``, ``bytes`` or ``either`` (see ``decode_decimal``).
+    ``encodings`` names the fields whose decimals the source does not write as numbers (see ``decode_decimal``); nothing is guessed.
     """
 
     entity: str
     key: tuple[str, ...]
     payload: T.StructType
-    decimals: str = "either"
+    encodings: tuple[tuple[str, str], ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -56,7 +56,8 @@ class EntitySpec:
 
     @classmethod
     def from_contract(cls, contract: Contract) -> EntitySpec:
-        return cls(contract.entity, contract.primary_key, contract.payload_schema)
+        coded = tuple((name, rule.encoding) for name, rule in contract.fields.items() if rule.encoding != "number")
+        return cls(contract.entity, contract.primary_key, contract.payload_schema, coded)
 
 
 ENTITY_SPECS = {name: EntitySpec.from_contract(c) for name, c in CDC_CONTRACTS.items()}
@@ -81,10 +82,10 @@ def latest_events(log: DataFrame, entity: str | None = None) -> DataFrame:
     )
 
 
-def _payload_column(source: Column, field: T.StructField, decimals: str) -> Column:
+def _payload_column(source: Column, field: T.StructField, spec: EntitySpec) -> Column:
     if isinstance(field.dataType, T.DecimalType):
         kind = field.dataType
-        return decode_decimal(source.getField(field.name), kind.precision, kind.scale, decimals)
+        return decode_decimal(source.getField(field.name), kind.precision, kind.scale, dict(spec.encodings).get(field.name, "number"))
     return source.getField(field.name)
 
 
@@ -103,7 +104,7 @@ def typed_changes(latest: DataFrame, spec: EntitySpec, applied_at: Column) -> Da
     key_text = F.split("entity_key", r"\|")
     columns = []
     for f in spec.payload.fields:
-        value = _payload_column(F.col("_row"), f, spec.decimals)
+        value = _payload_column(F.col("_row"), f, spec)
         if f.name in spec.key:
             # the key may have come from the message key only
             value = F.coalesce(value, key_text[spec.key.index(f.name)].try_cast(f.dataType))

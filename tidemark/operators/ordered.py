@@ -99,6 +99,24 @@ def adjacent_violations(
     )
 
 
+def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    """``df`` with the number of each row in order, from 0, without sorting all rows in one task.
+
+    Rows are written in ranges; the totals of the ranges before, a row for each, are added to the number inside a range.
+    """
+    width = shuffle_width(df.sparkSession)
+    ranged = stored(df.repartitionByRange(width, *order_by).withColumn("_range", F.spark_partition_id()), "ranges")
+    upto = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranged.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    )
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
+    placed = ranged.withColumn("_inside", inside).join(before, F.col("_range") == F.col("_of"))
+    return placed.select((F.col("_before") + F.col("_inside")).cast("int").alias(name), *df.columns)
+
+
 def exact_quantile(
     df: DataFrame,
     column: str,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.keys import row_checksum
 from tidemark.operators.envelope import LOG_SCHEMA
 from tidemark.operators.merge import EntitySpec, last_changes, live_rows, merge_changes
+from tidemark.session import stored
 from tidemark.sources.versions import VersionLog
 
 __all__ = [
@@ -24,6 +25,7 @@ __all__ = [
     "EntityStore",
     "refresh_table",
     "copy_verified",
+    "file_sizes",
     "compact",
     "checksum",
     "same_checksum",
@@ -270,15 +272,50 @@ def copy_verified(df: DataFrame, path: str) -> dict[str, int]:
     return {"source_rows": source, "target_rows": target}
 
 
+def file_sizes(rows: DataFrame, partition_by: Sequence[str] = (), small_bytes: int = 64 << 20) -> DataFrame:
+    """``files``, ``small_files`` and ``bytes`` of each partition, counted in Spark from what each row says of its file.
+
+    Reads no column but those of the partitions. Files without rows do not count.
+    """
+    of_file = rows.select(*partition_by, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size"))
+    files = of_file.groupBy(*partition_by, "_path").agg(F.max("_size").alias("_size"))
+    return files.groupBy(*partition_by).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("_size") < small_bytes).alias("small_files"),
+        F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes"),
+    )
+
+
 def compact(
-    spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = (), sums: Sequence[str] = ()
-) -> dict[str, int]:
-    """Rewrite many small files into evenly sized ones at a new path and verify the content."""
-    rows = spark.read.parquet(source)
+    spark: SparkSession,
+    source: str,
+    target: str,
+    partition_by: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    small_bytes: int | None = None,
+) -> DataFrame:
+    """Rewrite many small files into evenly sized ones at a new path and verify the content.
+
+    With ``small_bytes`` only those partitions are rewritten that have several files below that size; the others are not read but for
+    their file sizes. Returns ``files_before`` and ``files_after`` of each rewritten partition.
+    """
+    whole = spark.read.parquet(source)
+    before = stored(file_sizes(whole, partition_by, small_bytes or 0), "file-sizes")
+    rows = whole
+    if small_bytes is not None:
+        before = before.filter(F.col("small_files") > 1)
+        if partition_by:
+            asked = before.select(*[F.col(c).alias(f"_of_{c}") for c in partition_by])
+            rows = whole.join(asked, [whole[c].eqNullSafe(asked[f"_of_{c}"]) for c in partition_by], "left_semi")
     balanced = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-    result = spark.read.parquet(target).select(*rows.columns)
+    result = spark.read.schema(whole.schema).parquet(target).select(*rows.columns)
     verdict = same_checksum(checksum(rows, sums), checksum(result, sums)).first()
     if not verdict["all_equal"]:
         raise RuntimeError(f"compacted copy at {target} differs from {source}: {verdict}")
-    return {"files_before": len(rows.inputFiles()), "files_after": len(result.inputFiles())}
+    after = file_sizes(result, partition_by).select(*[F.col(c).alias(f"_of_{c}") for c in partition_by], F.col("files").alias("files_after"))
+    same = [before[c].eqNullSafe(after[f"_of_{c}"]) for c in partition_by]
+    counted = before.withColumnRenamed("files", "files_before")
+    if not partition_by:
+        return counted.select("files_before", after.scalar().alias("files_after"))
+    return counted.join(after, same, "left").select(*partition_by, "files_before", F.coalesce("files_after", F.lit(0)).alias("files_after"))

@@ -189,6 +189,15 @@ add(
     lambda s, d: Q.values_of_type(T(s, d, "pages").select("page_id", F.split_part("url", F.lit("/"), F.lit(5)).alias("tail")), "tail", "bigint"),
     "SELECT page_id, split_part(url, '/', 5) AS tail FROM pages WHERE TRY_CAST(split_part(url, '/', 5) AS BIGINT) IS NULL",
 )
+add(
+    "check_schema_type_in",
+    lambda s, d: Q.schema_type_in(T(s, d, "orders"), "o_totalprice", ["bigint", "string"]).unionByName(
+        Q.schema_type_in(T(s, d, "orders"), "o_orderkey", ["bigint", "string"])
+    ),
+    "SELECT DISTINCT 'o_totalprice' AS relation_column, lower(typeof(o_totalprice)) AS relation_column_type FROM orders "
+    "WHERE typeof(o_totalprice) NOT IN ('BIGINT', 'VARCHAR') UNION ALL "
+    "SELECT DISTINCT 'o_orderkey', lower(typeof(o_orderkey)) FROM orders WHERE typeof(o_orderkey) NOT IN ('BIGINT', 'VARCHAR')",
+)
 
 # aggregates
 

@@ -125,6 +125,29 @@ add("payload_profile", lambda s, d: V.payload_profile(I.table(s, d, "events"), "
     "CAST(0 AS BIGINT) AS as_timestamp FROM events GROUP BY 1")
 
 
+def _nested(s, d):
+    """Payloads with planted fields: an object, an array of objects, a field of two types, and some that are no JSON."""
+    number = F.col("event_id") % 4
+    extra = (
+        F.when(number == 0, F.concat(F.lit(', "cart": {"sum": '), F.col("value"), F.lit(', "paid": true}')))
+        .when(number == 1, F.concat(F.lit(', "items": [{"sku": "a'), F.col("event_id"), F.lit('"}, {"n": 2}]')))
+        .when(number == 2, F.concat(F.lit(', "note": '), F.when(F.col("event_id") % 8 == 2, '"x"').otherwise("null")))
+        .otherwise(F.lit(', "note": [1]'))
+    )
+    whole = F.concat(F.expr("substring(props, 1, length(props) - 1)"), extra, F.lit("}"))
+    payload = F.when(F.col("event_id") % 50 == 49, "no json").otherwise(whole)
+    return I.table(s, d, "events").select(payload.alias("payload"))
+
+
+add("payload_shape", lambda s, d: V.payload_shape(_nested(s, d), "payload").withColumn("inferred", F.regexp_replace("inferred", r"DECIMAL\(\d+,\d+\)", "DECIMAL")),
+    "WITH e AS (SELECT event_id % 4 AS n, event_id % 8 AS m FROM events WHERE event_id % 50 <> 49) "
+    "SELECT field, CAST(seen AS BIGINT) AS seen, CAST(nulls AS BIGINT) AS nulls, inferred FROM ("
+    "SELECT 'k' AS field, count(*) AS seen, 0 AS nulls, 'BIGINT' AS inferred FROM e UNION ALL "
+    "SELECT 'cart', count(*), 0, 'OBJECT<paid: BOOLEAN, sum: DECIMAL>' FROM e WHERE n = 0 UNION ALL "
+    "SELECT 'items', count(*), 0, 'ARRAY<OBJECT<n: BIGINT, sku: STRING>>' FROM e WHERE n = 1 UNION ALL "
+    "SELECT 'note', count(*), count(*) FILTER (m = 6), 'VARIANT' FROM e WHERE n >= 2)")
+
+
 def _payments_profile(s, d):
     log = change_log(s, d, "payments").filter(F.col("after").isNotNull())
     changed = F.regexp_replace(F.regexp_replace("after", '"status"', '"state"'), '"payment_id":([0-9]+)', '"payment_id":"P$1"')
