@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,17 @@ __all__ = ["apply_batch", "start_entities", "ingest_window", "replay"]
 def _fold(latest: DataFrame, stores: Mapping[str, EntityStore], settle_share: float) -> None:
     """Adds the latest events of all entities to their stores; a store with enough pending rows is settled."""
     applied_at = F.current_timestamp()
-    for entity, store in stores.items():
+
+    def fold(entity: str) -> None:
+        store = stores[entity]
         store.append(typed_changes(latest.filter(F.col("entity") == entity), store.spec, applied_at))
         if store.due(settle_share):
             store.settle()
 
+    # the stores do not depend on each other: their jobs run side by side
+    with ThreadPoolExecutor(max(1, len(stores))) as pool:
+        list(pool.map(fold, stores))
+
 
 def apply_batch(log_batch: DataFrame, stores: Mapping[str, EntityStore], settle_share: float = 0.0) -> None:
     """Fold a batch of log rows into the entity tables.

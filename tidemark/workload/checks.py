@@ -46,10 +46,17 @@ add(
     lambda s, d: Q.not_accepted_values(T(s, d, "orders"), "o_orderpriority", ["1-URGENT", "2-HIGH", "nothing"]),
     "SELECT DISTINCT o_orderpriority AS value_field FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', 'nothing')",
 )
+def _with_strangers(s, d):
+    """All lines, and for the large ones another that belongs to no order."""
+    lines = T(s, d, "lineitem")
+    return lines.unionByName(lines.filter("l_quantity > 45").withColumn("l_orderkey", -1 - F.col("l_orderkey")))
+
+
 add(
     "check_relationships",
-    lambda s, d: Q.relationships(T(s, d, "lineitem"), "l_orderkey", T(s, d, "orders").filter("o_orderstatus = 'F'"), "o_orderkey"),
-    f"SELECT l_orderkey AS id, {N} FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1",
+    lambda s, d: Q.relationships(_with_strangers(s, d), "l_orderkey", T(s, d, "orders"), "o_orderkey"),
+    f"SELECT l_orderkey AS id, {N} FROM (SELECT l_orderkey FROM lineitem UNION ALL SELECT -1 - l_orderkey FROM lineitem WHERE l_quantity > 45) "
+    "WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY 1",
 )
 add(
     "check_relationships_where",
@@ -120,8 +127,8 @@ add(
 )
 add(
     "check_sequential_whole_table",
-    lambda s, d: Q.sequential_values(T(s, d, "events").filter("event_type = 'click'"), "event_id", interval=2),
-    _STEP.format(keys="event_id", c="event_id", part="", order="event_id", table="(SELECT * FROM events WHERE event_type = 'click')", rule="event_id = previous_event_id + 2"),
+    lambda s, d: Q.sequential_values(T(s, d, "events"), "event_id", interval=2),
+    _STEP.format(keys="event_id", c="event_id", part="", order="event_id", table="events", rule="event_id = previous_event_id + 2"),
 )
 add(
     "check_sequential_days",
@@ -626,7 +633,8 @@ def _fields(s, d):
 _FIELD_LIST = "(SELECT * FROM (VALUES (0, 'order_id'), (1, 'order_ts'), (2, 'status'), (3, 'total_amount'), (4, 'updated_at'), (5, 'user_id')) f(position, field) WHERE EXISTS (SELECT 1 FROM events WHERE event_type <> 'signup'))"
 add("fields_observed", _fields, f"SELECT CAST(position AS INTEGER) AS position, field FROM {_FIELD_LIST}")
 add("fields_exist", lambda s, d: Q.field_exists(_fields(s, d), "CHANNEL").unionByName(Q.field_exists(_fields(s, d), "status", 0)).unionByName(Q.field_exists(_fields(s, d), "status", 2)),
-    "SELECT field FROM (VALUES ('CHANNEL'), ('status')) t(field)")
+    f"SELECT 'CHANNEL' AS field WHERE 'channel' NOT IN (SELECT field FROM {_FIELD_LIST}) UNION ALL SELECT 'status' FROM range(0, 3, 2) t(p) "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {_FIELD_LIST} WHERE field = 'status' AND position = p)")
 add("fields_count_between", lambda s, d: Q.field_count_between(_fields(s, d), 7, 9), f"SELECT CAST(count(*) AS BIGINT) AS observed, false AS expression FROM {_FIELD_LIST}")
 add("fields_count_equals", lambda s, d: Q.field_count_equals(_fields(s, d), 5), f"SELECT CAST(count(*) AS BIGINT) AS observed, false AS expression FROM {_FIELD_LIST}")
 add("fields_count_other_table", lambda s, d: Q.field_count_equals_other(_fields(s, d), Q.schema_fields(T(s, d, "customer"))),

@@ -121,8 +121,9 @@ add("freshness", lambda s, d: V.freshness(I.table(s, d, "events"), "ts", I.EVENT
 add("event_rate", lambda s, d: V.event_rate(I.table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", ["event_type"]),
     "SELECT CAST(date_trunc('day', CAST(ts AS TIMESTAMP)) AS TIMESTAMP) AS window_start, CAST(date_trunc('day', CAST(ts AS TIMESTAMP)) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, event_type, CAST(count(*) AS BIGINT) AS events FROM events GROUP BY 1, 2, 3")
 add("payload_profile", lambda s, d: V.payload_profile(I.table(s, d, "events"), "props", ["event_type"]),
-    "SELECT event_type, 'k' AS field, CAST(count(*) AS BIGINT) AS seen, CAST(0 AS BIGINT) AS nulls, CAST(count(*) AS BIGINT) AS as_bigint, CAST(count(*) AS BIGINT) AS as_double, "
-    "CAST(0 AS BIGINT) AS as_timestamp FROM events GROUP BY 1")
+    "SELECT event_type, field, CAST(count(*) AS BIGINT) AS seen, CAST(count(*) FILTER (v IS NULL) AS BIGINT) AS nulls, CAST(count(TRY_CAST(v AS BIGINT)) AS BIGINT) AS as_bigint, "
+    "CAST(count(TRY_CAST(v AS DOUBLE)) AS BIGINT) AS as_double, CAST(count(TRY_CAST(v AS TIMESTAMP)) AS BIGINT) AS as_timestamp "
+    "FROM (SELECT event_type, field, json_extract_string(props, '$.' || field) AS v FROM (SELECT event_type, props, unnest(json_keys(props)) AS field FROM events)) GROUP BY 1, 2")
 
 
 def _nested(s, d):

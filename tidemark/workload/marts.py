@@ -164,14 +164,21 @@ add(
     lambda s, d: K.captured_above_gmv(I.kpis(s, d)),
     with_(KPIS, "SELECT kpi_date, total_gmv, captured_amount FROM kpis WHERE captured_amount > total_gmv AND total_gmv > 0"),
 )
+def _with_orphans(s, d):
+    """All payments, and beside each failed one another whose order is unknown, or missing if the amount is large."""
+    payments = I.fct_payments(s, d)
+    unknown = F.when(F.col("amount") < 2000, -1 - F.col("order_id"))
+    return payments.unionByName(payments.filter("is_failed = 1").withColumn("order_id", unknown))
+
+
 add(
     "orphan_payments",
-    lambda s, d: K.orphan_payments(I.fct_payments(s, d), I.fct_orders(s, d).filter(F.col("status") != "paid")),
+    lambda s, d: K.orphan_payments(_with_orphans(s, d), I.fct_orders(s, d)),
     with_(
         FACTS,
-        "SELECT p.order_id AS id, CAST(COUNT(*) AS BIGINT) AS n_records FROM fct_payments p LEFT JOIN "
-        "(SELECT order_id FROM fct_orders WHERE status <> 'paid') o ON p.order_id = o.order_id "
-        "WHERE o.order_id IS NULL GROUP BY 1",
+        "SELECT p.order_id AS id, CAST(COUNT(*) AS BIGINT) AS n_records FROM (SELECT order_id FROM fct_payments UNION ALL "
+        "SELECT CASE WHEN amount < 2000 THEN -1 - order_id END FROM fct_payments WHERE is_failed = 1) p "
+        "LEFT JOIN fct_orders o ON p.order_id = o.order_id WHERE o.order_id IS NULL GROUP BY 1",
     ),
 )
 add(
@@ -206,11 +213,12 @@ add(
 )
 add(
     "kpi_missing_days",
-    lambda s, d: K.missing_days(I.kpis(s, d).filter(F.col("order_count") > 5), _as_of(), 60),
+    # three weeks after the last order
+    lambda s, d: K.missing_days(I.kpis(s, d), F.lit("2001-08-22"), 60),
     with_(
         KPIS,
-        "SELECT CAST(range AS DATE) AS kpi_date FROM range(TIMESTAMP '2001-06-03', TIMESTAMP '2001-08-02', INTERVAL 1 DAY) "
-        "WHERE CAST(range AS DATE) NOT IN (SELECT kpi_date FROM kpis WHERE order_count > 5)",
+        "SELECT CAST(range AS DATE) AS kpi_date FROM range(TIMESTAMP '2001-06-24', TIMESTAMP '2001-08-23', INTERVAL 1 DAY) "
+        "WHERE CAST(range AS DATE) NOT IN (SELECT kpi_date FROM kpis)",
     ),
 )
 add(

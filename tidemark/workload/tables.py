@@ -68,22 +68,29 @@ def _by_name(s, d):
 
 add("union_tables_like", _by_name, "SELECT 'tidemark_part_' || _source_relation AS _source_relation, id, owner, amount, flag FROM (" + _UNION + ")")
 add("symmetric_difference",
-    lambda s, d: R.symmetric_difference(T(s, d, "orders").select(F.col("o_custkey").alias("k")), T(s, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k"))),
-    "SELECT 'a_minus_b' AS which_diff, k FROM (SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0) UNION ALL "
-    "SELECT 'b_minus_a', k FROM (SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders)")
+    lambda s, d: R.symmetric_difference(
+        # pending orders name customers that do not exist, debtors are known by another number
+        T(s, d, "orders").select(F.when(F.col("o_orderstatus") == "P", -1 - F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("k")),
+        T(s, d, "customer").select(F.when(F.col("c_acctbal") < 0, 10**9 + F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("k")),
+    ),
+    "WITH a AS (SELECT CASE WHEN o_orderstatus = 'P' THEN -1 - o_custkey ELSE o_custkey END AS k FROM orders), "
+    "b AS (SELECT CASE WHEN c_acctbal < 0 THEN 1000000000 + c_custkey ELSE c_custkey END AS k FROM customer) "
+    "SELECT 'a_minus_b' AS which_diff, k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL "
+    "SELECT 'b_minus_a', k FROM (SELECT k FROM b EXCEPT SELECT k FROM a)")
 add("deduplicate",
     lambda s, d: R.deduplicate(T(s, d, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], [F.desc("value"), F.asc("event_id")]),
     "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) = 1")
 
 
 def _missing_keys(s, d):
-    orders = T(s, d, "orders").filter("o_orderstatus <> 'P'")
+    """Numbers up to that of the last order that no line has."""
     top = T(s, d, "orders").agg(F.max("o_orderkey")).first()[0]
-    return R.generate_series(s, top).join(orders.select(F.col("o_orderkey").alias("generated_number")), "generated_number", "left_anti")
+    lines = T(s, d, "lineitem").select(F.col("l_orderkey").alias("generated_number"))
+    return R.generate_series(s, top).join(lines, "generated_number", "left_anti")
 
 
 add("generate_series", _missing_keys,
-    "SELECT g AS generated_number FROM (SELECT unnest(generate_series(1, max(o_orderkey))) AS g FROM orders) WHERE g NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
+    "SELECT g AS generated_number FROM (SELECT unnest(generate_series(1, max(o_orderkey))) AS g FROM orders) WHERE g NOT IN (SELECT l_orderkey FROM lineitem)")
 add("cross_series",
     lambda s, d: R.cross_series(T(s, d, "lineitem").select("l_suppkey", F.col("l_linenumber").alias("n")), F.col("n"), "part_no").groupBy("l_suppkey", "part_no").agg(F.count(F.lit(1)).alias("n")),
     "SELECT l_suppkey, CAST(part_no AS INTEGER) AS part_no, CAST(count(*) AS BIGINT) AS n FROM (SELECT l_suppkey, unnest(generate_series(1, l_linenumber)) AS part_no FROM lineitem) GROUP BY 1, 2")
