@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import send_code, stored, text_or_empty
 from tidemark.llm.pieces import coder
 
 CACHE_SCHEMA = "digest binary, n_tokens long, version string"
@@ -60,6 +60,7 @@ def _encode(missing: DataFrame, path: str) -> DataFrame:
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024) -> DataFrame:
     """doc_id, digest, n_bytes, n_tokens, over_limit of every row; new counts are in ``cache`` afterwards."""
     spark, version = docs.sparkSession, tokenizer_version(tokenizer)
+    send_code(spark)
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).select(
         "doc_id", "text", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")
     )
@@ -69,8 +70,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024)
         .join(read_cache(spark, cache, version), "digest", "left_anti")
     )
     _encode(missing, tokenizer).withColumn("version", F.lit(version)).write.mode("append").parquet(cache)
+    # the counts of these texts only, written before they are joined: Spark splits a text that fills a third of the table over tasks
+    asked = texts.select("digest").distinct()
+    counts = stored(read_cache(spark, cache, version).join(asked, "digest", "left_semi"), "counts")
     return (
         texts.drop("text")
-        .join(read_cache(spark, cache, version), "digest")
+        .join(counts, "digest")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "digest")
     )
