@@ -100,6 +100,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE) -> DataF
         .filter(F.col("n") <= per_grade)
         .drop("n")
     )
+    # at most ``per_grade`` ids of each of three grades: sent to the scan, so that no text moves but theirs
+    chosen = F.broadcast(stored(chosen, "chosen"))
     return docs.select(F.col("doc_id").cast("long"), "text").filter(F.col("text").isNotNull()).join(chosen, "doc_id")
 
 
