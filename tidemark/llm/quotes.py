@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_or_empty
+from tidemark.llm.common import send_code, stored, text_or_empty
 
 FOREIGN_WORDS = 5
 
@@ -135,6 +135,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def parse(messages: DataFrame) -> DataFrame:
     """Own text, units and quoted units of each message."""
+    send_code(messages.sparkSession)
     return messages.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), text_or_empty().alias("text")
     ).mapInArrow(_parse, PARSED)
@@ -144,13 +145,17 @@ def links(parsed: DataFrame) -> DataFrame:
     """One row per message and linked passage: conv_id, turn, passage, level, words, origin_conv, origin_turn."""
     known = parsed.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     quoted = known.filter(F.size("quotes") > 0).select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*").distinct()
-    wanted = quoted.select("hash").distinct()
-    originals = known.select("conv_id", "turn", F.explode("units").alias("hash")).join(wanted, "hash", "left_semi")
-    near = originals.groupBy("hash", "conv_id").agg(F.min("turn").alias("near_turn"))
+    quoted = stored(quoted, "quoted")
+    # what is reduced is written before it is joined: a join right above an aggregate cannot split a hot line
+    wanted = stored(quoted.select("hash").distinct(), "wanted")
+    # a line is one row for each conversation, map-side, before any join
+    first = known.select("conv_id", "turn", F.explode("units").alias("hash")).groupBy("hash", "conv_id").agg(F.min("turn").alias("near_turn"))
+    near = stored(first.join(wanted, "hash", "left_semi"), "near")
     # the two least conversations, of which one is another; Spark drops the others before the shuffle
     rank = F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))
     least = near.withColumn("rank", rank).filter("rank <= 2")
     least = least.groupBy("hash").agg(F.sort_array(F.collect_list(F.struct("conv_id", F.col("near_turn").alias("turn")))).alias("least"))
+    least = stored(least, "least")
     own = F.col("near_turn") < F.col("turn")
     other = F.get(F.filter("least", lambda c: c["conv_id"] != F.col("conv_id")), F.lit(0))
     foreign = (F.col("words") >= FOREIGN_WORDS) & other.isNotNull()
