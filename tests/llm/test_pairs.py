@@ -309,3 +309,94 @@ def test_pipeline_on_a_small_corpus(spark, documents, tmp_path):
     assert seen[2].keys() - seen[3].keys() == {120}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {p.doc_id for p in packed} == seen[3].keys()
+
+
+def test_version_of_a_license_that_fits_best(documents):
+    two = "this work is licensed under the GNU General Public License, version 2 and more"
+    three = "some words. This work is licensed under the GNU General Public License, version 3"
+    part = " ".join(licenses.TEMPLATES[2][1].split()[:-3])  # a notice cut short
+    docs = documents([(1, two), (2, three), (3, f"{two} {'other words here ' * 40} {three}"), (4, part), (5, "Licensed under CC BY-NC 4.0")])
+    found = {(r.doc_id, r.license) for r in licenses.scan(docs).collect()}
+    assert found == {(1, "GPL-2.0"), (2, "GPL-3.0"), (3, "GPL-2.0"), (3, "GPL-3.0"), (4, "MIT"), (5, "CC-BY-NC-4.0")}
+
+
+def test_bands_are_an_equi_join(documents):
+    plan = licenses.scan(documents([(1, "a b c d e f")]))._jdf.queryExecution().executedPlan().toString()
+    joined = next(line for line in plan.splitlines() if "HashJoin" in line)
+    assert "band" in joined and "hash" in joined and "size" in joined
+
+
+def plain_links(rows):
+    """Every quoted passage against every unit of every message, without hashes or joins."""
+    parsed = {}
+    for conv, turn, text in rows:
+        parts = quotes.passages(text or "")
+        body = "\n".join(t for level, t in parts if level == 0) if any(level for level, _ in parts) else text or ""
+        own = set(quotes.units(body))
+        for level, t in parts:
+            if level == 0 and t != body:
+                own |= set(quotes.units(t))
+        parsed[conv, turn] = (own, [(i, level, quotes.units(t)) for i, (level, t) in enumerate(parts) if level])
+    found = {}
+    for (conv, turn), (_, quoted) in parsed.items():
+        for i, level, units in quoted:
+            best = None
+            for unit, words in units.items():
+                own = min((t for (c, t), (mine, _) in parsed.items() if c == conv and unit in mine), default=None)
+                others = [(c, t) for (c, t), (mine, _) in parsed.items() if c != conv and unit in mine]
+                if own is not None and own < turn:
+                    origin = (conv, own)
+                elif others and words >= quotes.FOREIGN_WORDS:
+                    origin = min(others)
+                else:
+                    continue
+                best = max(best, (words, *origin)) if best else (words, *origin)
+            if best:
+                found[conv, turn, i] = (level, *best)
+    return found
+
+
+def test_links_against_all_units(spark):
+    """Generated conversations with nested, rewrapped and partial quotes."""
+    r = random.Random(3)
+    names = [f"word{i}" for i in range(60)]
+    rows, said = [], {}
+    for conv in range(12):
+        for turn in range(6):
+            lines = [" ".join(r.choice(names) for _ in range(r.randint(3, 9))) + "." for _ in range(r.randint(1, 4))]
+            text = "\n".join(lines) if r.random() < 0.5 else " ".join(lines)
+            if turn and r.random() < 0.8:
+                source = said[(conv if r.random() < 0.7 else r.randrange(conv + 1), r.randrange(turn))] if conv else said[conv, r.randrange(turn)]
+                words = source.split()
+                kind = r.randrange(4)
+                if kind == 0:  # whole, quotes of quotes get deeper
+                    quoted = source.splitlines()
+                elif kind == 1:  # wrapped anew
+                    quoted = [" ".join(words[i : i + 5]) for i in range(0, len(words), 5)]
+                elif kind == 2:  # a sentence
+                    quoted = [r.choice([s for s in source.replace("\n", " ").split(".") if s.strip()] or [source]).strip() + "."]
+                else:  # unknown words
+                    quoted = ["nobody ever said these words in any message"]
+                text = "\n".join([f"> {line}" for line in quoted] + [text])
+            said[conv, turn] = text
+            rows.append((conv, turn, text))
+    messages = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    links = quotes.links(quotes.parse(messages)).collect()
+    found = {(x.conv_id, x.turn, x.passage): (x.level, x.words, x.origin_conv, x.origin_turn) for x in links}
+    assert found == plain_links(rows) and len(found) > 20
+
+
+def test_stages_keep_rows_of_odd_tables(documents, odd, empty, spark):
+    items = spark.createDataFrame([(1, "an id with two texts of its own here")], "item_id long, text string")
+    left = decontaminate.without_leaks(odd, items)
+    assert left.schema == odd.schema and left.count() == len(ODD) - 1
+    assert decontaminate.without_leaks(empty, items).count() == 0
+    # the caller's columns of internal names come back as they were
+    for kept in (left, nearcopies.one_of_each(odd)):
+        assert {(r["__key"], r.text_key, r.key_a, r.spans) for r in kept.collect()} == {("__key", "text_key", "key_a", "spans")}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path, empty):
+    empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "an item")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -101,3 +101,35 @@ def test_cut_documents_keep_their_columns(documents):
     kept = suffixes.without_repeats(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id: r.text for r in kept.collect()} == {1: "head é", 2: " tail", 4: None, 5: "short"}
+
+
+def test_cut_stage_on_odd_rows(odd, empty):
+    kept = suffixes.without_repeats(odd)
+    assert kept.schema == odd.schema
+    # nothing of 200 bytes repeats between documents; the long one repeats itself and what is left of it stays
+    expected = sorted(((i, t) for i, t in ODD if i != 6), key=repr)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect() if r.doc_id != 6), key=repr) == expected
+    assert suffixes.without_repeats(empty).count() == 0
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_copies_of_one_text_are_split_over_tasks(spark, documents):
+    """A third of the rows is one text: the join with its spans may split them."""
+    text = "one text that is long enough to be looked at " * 8
+    docs = documents([(i, text if i % 3 == 0 else f"{i} other " + chr(97 + i % 26) * 50) for i in range(3000)])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = suffixes.with_spans(docs.select("doc_id", "text"))
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

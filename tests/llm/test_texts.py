@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from odd import ODD
@@ -49,6 +50,26 @@ def test_language_of_odd_rows(odd, empty):
     assert {r.lang_pred for r in language.predict(odd, None).collect()} == {"und"}
 
 
+def test_numbers_are_no_letters(documents):
+    model = language.train(["hello there my friend"] * 4 + ["über öl grüße straße"] * 4, ["en"] * 4 + ["de"] * 4, rounds=3)
+    rows = language.predict(documents([(1, "½ ² Ⅻ ٣ 12"), (2, "½ a"), (3, "日"), (4, "_")]), model).collect()
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 4}
+
+
+def test_labelled_documents_keep_their_rows(documents, odd, empty):
+    model = language.train(["hello there my friend"] * 9 + ["über öl grüße straße"] * 9, ["en"] * 9 + ["de"] * 9, rounds=8)
+    docs = documents([(1, "hello there my friend hello", "de"), (2, "über öl grüße straße", None), (3, "12", "en"), (4, None, "en")])
+    kept = language.label(docs, model, 0.5)
+    assert kept.schema == docs.schema and {r.doc_id: r.lang for r in kept.collect()} == {1: "en", 2: "de"}
+    assert {r.spans for r in kept.collect()} == {"spans"}
+    # one node scores each text once
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    assert language.label(empty, model, 0.5).count() == 0 and language.label(docs, None, 0.5).count() == 0
+    left = language.label(odd, model, 0.0).collect()
+    assert len(left) == len(ODD) - 5
+
+
 def test_tables_equal_filters():
     """Looking filters up by byte is the trained network itself."""
     model = language.train(["abc abc", "xyz xyz"] * 3, ["a", "b"] * 3, rounds=2)
@@ -87,6 +108,60 @@ def test_edited_texts_and_likeness(documents, count):
         assert math.isclose(r.near_next, len(a & c) / len(a | c) if a | c else 1.0)
 
 
+def test_rows_of_null_and_hot_ids_are_spread(documents, spark):
+    """A third of the rows has no id, a third one id; their order is that of the hashes of their texts."""
+    rows = [(None if i % 3 == 0 else 50 if i % 3 == 1 else i, f"the {i} house of the river and {i * i} boats in water") for i in range(300)]
+    docs = documents(rows)
+    sizes = [r[0] for r in spots._ranges(docs.select("doc_id", "text"), 8).groupBy("part").count().select("count").collect()]
+    assert len(sizes) > 20 and max(sizes) < 60
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), _signed_hash(r[1]) >> 1))
+    texts = [t for _, t in ordered]
+    expected = sorted(hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest() for t, n in zip(texts, texts[1:] + texts[:1], strict=True))
+    assert sorted(r.edited_sha256 for r in spots.neighbour_likeness(docs).collect()) == expected
+
+
+def _signed_hash(text):
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - 2**64 if value >= 2**63 else value
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
+def test_near_documents_against_all_pairs(documents, least):
+    r = np.random.default_rng(5)
+    names = [f"w{i}" for i in range(40)] + ["the", "of", "and", "in"] * 4
+    texts = []
+    for i in range(60):
+        if i % 3 and texts:
+            words = texts[int(r.integers(len(texts)))].split()
+            for _ in range(int(r.integers(0, 6))):
+                words[int(r.integers(len(words)))] = str(r.choice(names))
+            texts.append(" ".join(words))
+        else:
+            texts.append(" ".join(r.choice(names, int(r.integers(5, 80)))))
+    rows = list(enumerate([*texts, texts[0], None, "", "..."]))
+    links, entries = spots.near_documents(documents(rows), least)
+    entry = {row.doc_id: row.entry for row in entries.collect()}
+    sets = {entry[i]: set(spots.signatures(t or "").tolist()) for i, t in rows}
+    assert len({frozenset(s) for s in sets.values()}) == len(sets) and len(entry) == len(rows)
+    expected = {}
+    for u in sets:
+        for v in sets:
+            if u < v and sets[u] and sets[v] and (near := len(sets[u] & sets[v]) / len(sets[u] | sets[v])) >= least:
+                expected[u, v] = near
+    found = {(min(row.u, row.v), max(row.u, row.v)): row.likeness for row in links.collect()}
+    assert found.keys() == expected.keys() and all(math.isclose(found[k], expected[k]) for k in found)
+    assert expected or least == 1.0
+
+
+def test_near_documents_of_odd_rows(odd, empty):
+    links, entries = spots.near_documents(odd)
+    assert links.count() == 0 and entries.count() == len(ODD)
+    links, entries = spots.near_documents(empty)
+    assert links.count() == 0 and entries.count() == 0
+    with pytest.raises(ValueError):
+        spots.near_documents(odd, 0)
+
+
 def test_chains_by_hand():
     mixed = spots.signatures("The river house was green water")
     assert len(mixed) == 2  # the+river+house, was+green+water

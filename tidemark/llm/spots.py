@@ -4,8 +4,14 @@ Common words (the anchors) are spread evenly over running text and rare in menus
 makes one signature of itself and the ``CHAIN`` content words after it. A fingerprint is the set of
 signatures, written as sorted 32-bit numbers in hexadecimal, so equal texts have equal fingerprints. Two
 fingerprints are compared by Jaccard likeness; the number of signatures bounds it from above
-(min / max), so ``jaccard`` can rule out unlike lengths before it compares sets. The query cannot use that: it returns
-the exact likeness of every pair that it is given. There is no search for near documents here.
+(min / max), so ``jaccard`` can rule out unlike lengths before it compares sets.
+
+``near_documents`` searches a table for like documents. Different fingerprints are partitioned by the number of their signatures, each partition
+reaching from a length to that length divided by the likeness asked for, so that two like ones lie in one partition or in neighbours. Inside, they meet through
+their rarest signatures: two like sets share one of the first ``size - ceil(likeness * size) + 1`` of either in any common order. Pairs whose lengths
+or remaining signatures rule the likeness out are dropped before sets are compared. Documents of equal fingerprints are one entry of the search.
+
+The registered query compares given pairs (a text with its edited text and with the next one) and returns each likeness, so it prunes none.
 
 Where more than ``GAP`` words follow each other without an anchor (tables, other languages), every word of which
 the hash is divisible by three is an anchor too: that depends on the words around it only, so an edit elsewhere
@@ -32,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import SIMILAR, send_code, stored, text_or_empty
 from tidemark.session import shuffle_width
 
 CHAIN = 2
@@ -122,9 +128,13 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame, count: int) -> DataFrame:
-    """``docs`` with the number of its range of ids, descending; null ids are in the last."""
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10_000)).first()[0]
-    cuts = sorted(set(cuts or []))
+    """``docs`` with ``part``, the number of its range of ids, descending; null ids are in the last ones.
+
+    An id that fills several ranges, and null, is divided by the hash that orders its rows.
+    """
+    found = docs.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 10_000)).first()[0] or []
+    cuts = sorted(set(found))
+    hot = [c for c in cuts if found.count(c) > 1]
     # search the cut points by halving; the expression is as deep as their logarithm
     def place(low: int, high: int):
         if low == high:
@@ -132,11 +142,17 @@ def _ranges(docs: DataFrame, count: int) -> DataFrame:
         middle = (low + high) // 2
         return F.when(F.col("doc_id") < cuts[middle], place(low, middle)).otherwise(place(middle + 1, high))
 
-    return docs.withColumn("part", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(place(0, len(cuts))))
+    # a hot id is the least of its range, so its rows come after the others
+    order = F.expr("xxhash64(text) >> 1") + F.lit(2**62)  # 0 to 2^63
+    within = 1 + F.floor(order / F.lit(2.0**63 / count))
+    sub = F.when(F.col("doc_id").isNull() | F.col("doc_id").isin(hot), within).otherwise(0)
+    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(place(0, len(cuts)))
+    return docs.withColumn("part", part * (count + 2) + sub)
 
 
 def neighbour_likeness(docs: DataFrame) -> DataFrame:
     """Fingerprint of every text and of its edited text, with their likeness and that of the next text."""
+    send_code(docs.sparkSession)
     width = shuffle_width(docs.sparkSession)
     rows = _ranges(docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")), 2 * width)
     first = rows.groupBy("part").agg(F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))), F.expr("-1 * (xxhash64(text) >> 1)"), "text")).alias("head"))
@@ -173,3 +189,49 @@ def _row(doc_id, text: str, own: np.ndarray, following: str, other: np.ndarray)
     after = own if changed == text else signatures(changed)
     digest = hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest()
     return doc_id, len(text), digest, written(own), written(after), jaccard(own, after), jaccard(own, other), len(own)
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        found = [signatures(t).astype(np.int64) for t in rows.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "signatures"])
+
+
+def near_documents(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v, likeness) between different fingerprints that are alike by ``least`` or more, and the fingerprint (``entry``) of each doc_id.
+
+    Texts without signatures are like their own kind only, which is one entry. Nulls, repeated rows and empty tables as above.
+    """
+    if not 0 < least <= 1:
+        raise ValueError(f"the likeness must be above 0 and at most 1, got {least}")
+    send_code(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(_fingerprints, "doc_id long, signatures array<long>")
+    digest = F.md5(F.concat_ws(",", F.col("signatures").cast("array<string>")).cast("binary")).alias("entry")
+    placed = stored(rows.select("doc_id", digest, "signatures"), "fingerprints")
+    # copies meet map-side
+    entries = placed.filter(F.size("signatures") > 0).groupBy("entry").agg(F.first("signatures").alias("signatures"))
+    entries = stored(entries.withColumn("size", F.size("signatures")), "entries")
+    length = F.floor(F.log("size") / F.lit(float(-np.log(least)) if least < 1 else 1e-9) + 1e-9).cast("long")
+    members = entries.select("entry", "size", length.alias("partition"), F.explode("signatures").alias("signature"))
+    counts = stored(members.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counts")
+    # a signature of one document leads nowhere but counts in the order: it stands first
+    shared = members.join(counts, "signature")
+    rank = F.row_number().over(Window.partitionBy("entry").orderBy("n", "signature"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("entry"))
+    ranked = shared.withColumn("rank", rank).withColumn("alone", F.col("size") - many)
+    prefix = F.col("size") - F.ceil(F.col("size") * F.lit(least) - 1e-9) + 1
+    first = stored(ranked.filter(F.col("alone") + F.col("rank") <= prefix).withColumn("place", F.col("alone") + F.col("rank")), "first")
+    u = first.select("signature", F.col("entry").alias("u"), F.col("size").alias("u_size"), F.col("place").alias("u_place"), "partition")
+    v = first.select("signature", F.col("entry").alias("v"), F.col("size").alias("v_size"), F.col("place").alias("v_place"), F.explode(F.array("partition", F.col("partition") - 1)).alias("partition"))
+    # the larger set lies in the same partition or in the next
+    smaller = (F.col("u_size") < F.col("v_size")) | ((F.col("u_size") == F.col("v_size")) & (F.col("u") < F.col("v")))
+    needed = F.ceil((F.col("u_size") + F.col("v_size")) * F.lit(least / (1 + least)) - 1e-9)
+    # common signatures: no more than stand up to this one in either set, and behind it in either
+    bound = F.least("u_place", "v_place") + F.least(F.col("u_size") - F.col("u_place"), F.col("v_size") - F.col("v_place"))
+    met = u.join(v, ["signature", "partition"]).filter(smaller & (F.col("u_size") >= F.col("v_size") * F.lit(least) - 1e-9))
+    candidates = stored(met.filter(bound >= needed).select("u", "v").distinct(), "candidates")
+    with_v = candidates.join(entries.select(F.col("entry").alias("v"), F.col("signatures").alias("b")), "v")
+    both = with_v.join(entries.select(F.col("entry").alias("u"), F.col("signatures").alias("a")), "u")
+    common = F.size(F.array_intersect("a", "b"))
+    likeness = common / (F.size("a") + F.size("b") - common)
+    return both.select("u", "v", likeness.alias("likeness")).filter(F.col("likeness") >= F.lit(least) - 1e-12), placed.select("doc_id", "entry")
