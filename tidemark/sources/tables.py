@@ -106,7 +106,11 @@ class EntityStore:
     def ensure(self) -> EntityStore:
         """Creates the store where there is none; the buckets of an existing one stay."""
         if self.log.latest() is None:
-            self._publish(empty_entity(self.spark, self.spec), self.buckets, -1, None)
+            state = {
+                "version": 0, "folder": None, "buckets": self.buckets, "rows": 0, "schema": self.spec.schema.jsonValue(),
+                "pending": [], "pending_rows": 0, "first": 0, "old": [],
+            }
+            self.log.add(0, state)
         return self
 
     def _state(self) -> tuple[int, dict]:
@@ -127,8 +131,10 @@ class EntityStore:
         return f"{self.spec.entity}_{folder}".replace("-", "_")
 
     def _stored(self, state: dict) -> DataFrame:
-        # the catalog of this session may not know the version yet; its bucketing makes the merge free of a shuffle
         schema = T.StructType.fromJson(state["schema"])
+        if state["folder"] is None:
+            return self.spark.createDataFrame([], schema)
+        # the catalog of this session may not know the version yet; its bucketing makes the merge free of a shuffle
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         key = ", ".join(f"`{k}`" for k in self.spec.key)
         name = self._table(state["folder"])
@@ -162,7 +168,7 @@ class EntityStore:
         """Live rows, pending changes included."""
         return live_rows(self._merged(self._state()[1]))
 
-    def _publish(self, df: DataFrame, buckets: int, number: int, before: dict | None) -> int:
+    def _publish(self, df: DataFrame, buckets: int, number: int, before: dict) -> int:
         """Writes ``df`` as the next version, makes it current and drops the oldest one."""
         folder, counted = self.log.folder("version"), Observation()
         (
@@ -174,14 +180,14 @@ class EntityStore:
             .saveAsTable(self._table(folder))
         )
         # what each earlier version needs, and the number of the state that made it
-        old = [] if before is None else [*before["old"], [before["first"], before["folder"], *before["pending"]]]
+        old = [*before["old"], [before["first"], *([before["folder"]] if before["folder"] else []), *before["pending"]]]
         stay, gone = old[-(self.keep - 1) :] if self.keep > 1 else [], old[: -(self.keep - 1)] if self.keep > 1 else old
         state = {
-            "version": 0 if before is None else before["version"] + 1, "folder": folder, "buckets": buckets, "rows": counted.get["n"],
+            "version": before["version"] + 1, "folder": folder, "buckets": buckets, "rows": counted.get["n"],
             "schema": df.schema.jsonValue(), "pending": [], "pending_rows": 0, "first": number + 1, "old": stay,
         }
         self.log.add(number + 1, state)
-        for _, gone_folder, *_ in gone:
+        for gone_folder in (name for _, *names in gone for name in names if name.startswith("version")):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(gone_folder)}")
         if gone:
             self.log.forget((name for _, *names in gone for name in names), stay[0][0] if stay else number + 1)
@@ -207,6 +213,16 @@ class EntityStore:
             buckets *= 2
         return self._publish(self._merged(state), buckets, number, state)
 
+    def apply(self, changes: DataFrame, settle_share: float) -> None:
+        """Appends a batch, and settles once the pending changes are more than that share of the rows; the first batch becomes a version at once."""
+        number, state = self._state()
+        if state["folder"] is None and not state["pending"]:
+            self._publish(self.merged_plan(changes.select(*self.spec.schema.names)), state["buckets"], number, state)
+            return
+        self.append(changes)
+        if self.due(settle_share):
+            self.settle()
+
     def merge(self, changes: DataFrame) -> int:
         """Append a batch and settle at once."""
         self.append(changes)

@@ -22,9 +22,7 @@ def _fold(latest: DataFrame, stores: Mapping[str, EntityStore], settle_share: fl
 
     def fold(entity: str) -> None:
         store = stores[entity]
-        store.append(typed_changes(latest.filter(F.col("entity") == entity), store.spec, applied_at))
-        if store.due(settle_share):
-            store.settle()
+        store.apply(typed_changes(latest.filter(F.col("entity") == entity), store.spec, applied_at), settle_share)
 
     # the stores do not depend on each other: their jobs run side by side
     with ThreadPoolExecutor(max(1, len(stores))) as pool:
