@@ -86,7 +86,7 @@ def main() -> None:
     cold["build_marts"] = round(time.perf_counter() - started, 3)
     for name in ("change_messages", "damaged_messages"):
         landed = scratch_path(spark, name)
-        getattr(I, name)(spark, folder).write.parquet(landed)
+        getattr(I, name)(spark, folder).repartition(int(cpus)).write.parquet(landed)
         setattr(I, name, lambda s, _, landed=landed: s.read.parquet(landed))
     for number in range(1 + repeat):
         for name, build in plans.items():

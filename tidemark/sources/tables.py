@@ -17,7 +17,6 @@ from tidemark.sources.versions import VersionLog
 
 __all__ = [
     "read_table",
-    "spread",
     "ensure_log_table",
     "with_ingest_date",
     "append_log",
@@ -45,15 +44,6 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(log.path(state["folders"][-1])).select(schema.names)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on an input of a few unsplittable files.
-
-    Inputs with at least as many partitions as cores, which is every large one, stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def with_ingest_date(log: DataFrame) -> DataFrame:
     """Partition column of the log: the day of ingest."""
     return log.withColumn("ingest_date", F.to_date("ingest_time"))
