@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import picked_hashes, text_key, text_or_empty, words
+from tidemark.llm.common import free_name, picked_hashes, text_key, text_or_empty, words
 
 # The masks for items of so many words; the last ones are for all longer items too.
 MASKS = {
@@ -142,9 +142,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, as they are."""
-    held = overlaps(docs, benchmark).select(F.col("key_a").alias("__key_a"), F.col("key_b").alias("__key_b")).distinct()
+    own = [free_name(docs, key) for key in KEYS]
+    held = overlaps(docs, benchmark).select(*(F.col(key).alias(name) for key, name in zip(KEYS, own, strict=True))).distinct()
     a, b = text_key(text_or_empty())
-    return docs.join(held, (a == F.col("__key_a")) & (b == F.col("__key_b")), "left_anti")
+    return docs.join(held, (a == F.col(own[0])) & (b == F.col(own[1])), "left_anti")
 
 
 # Fixed values of the SQL: six of nine words each.

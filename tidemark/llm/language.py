@@ -16,18 +16,16 @@ count as not held out. Repeated rows are predicted each. An empty table gives an
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import free_name, send_code, slices, text_or_empty
 
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 1500
@@ -37,10 +35,11 @@ FILTERS = 16
 EMBEDDING = 12
 #: windows scored at once: bounds a worker's memory whatever the length of a text
 BATCH = 64
+#: bytes of text scored before their rows are handed on
+BATCH_BYTES = 1 << 22
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -192,7 +191,7 @@ def _texts_to_scores(model: Model, texts: list[str | None]) -> list[tuple[str, f
         batch.clear()
 
     for i, text in enumerate(texts):
-        if text is None or _LETTER.search(text) is None:
+        if text is None or not any(map(str.isalpha, text)):
             continue
         data = text.encode("utf-8", "replace")
         for at in range(0, len(data), WINDOW * BATCH):
@@ -214,10 +213,11 @@ def _texts_to_scores(model: Model, texts: list[str | None]) -> list[tuple[str, f
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; only the text is looked at."""
+    send_code(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches, 2, BATCH_BYTES):
             texts = rows.column(2).to_pylist()
             found = _texts_to_scores(model, texts) if model else [(UNKNOWN, 0.0)] * len(texts)
             yield pa.RecordBatch.from_arrays(
@@ -229,15 +229,23 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def label(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The documents whose language is known with a score of ``least`` or more, ``lang`` as predicted."""
+    """The documents whose language is known with a score of ``least`` or more, ``lang`` as predicted.
+
+    One pass scores every text once and hands on the rows that stay.
+    """
+    send_code(docs.sparkSession)
     kind, names = docs.schema["lang"].dataType, docs.columns
-    schema = T.StructType([T.StructField("found", T.StringType()), T.StructField("score", T.DoubleType())])
+    text, at = free_name(docs, "text_to_label"), names.index(docs.schema["lang"].name)
+    fields = [T.StructField("lang", T.StringType()) if i == at else f for i, f in enumerate(docs.schema.fields)]
 
-    @F.pandas_udf(schema)
-    def find(texts: pd.Series) -> pd.DataFrame:
-        found = _texts_to_scores(model, texts.tolist()) if model else [(UNKNOWN, 0.0)] * len(texts)
-        return pd.DataFrame(found, columns=["found", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, len(names), BATCH_BYTES):
+            texts = rows.column(len(names)).to_pylist()
+            found = _texts_to_scores(model, texts) if model else [(UNKNOWN, 0.0)] * len(texts)
+            columns = rows.columns[:-1]
+            columns[at] = pa.array([f[0] for f in found], pa.string())
+            known = pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(known)
 
-    scored = docs.withColumn("__found", find(text_or_empty()))
-    known = scored.filter((F.col("__found.found") != UNKNOWN) & (F.col("__found.score") >= least))
-    return known.withColumn("lang", F.col("__found.found").cast(kind)).select(names)
+    kept = docs.withColumn(text, text_or_empty()).mapInArrow(run, T.StructType(fields))
+    return kept.withColumn(names[at], F.col(names[at]).cast(kind))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SHINGLE_WORDS, SIMILAR, distinct_texts, stored, text_digest, text_or_empty
+from tidemark.llm.common import SHINGLE_WORDS, SIMILAR, distinct_texts, free_name, send_code, slices, stored, text_digest, text_or_empty
 from tidemark.llm.components import components
 
 BANDS = 32
@@ -44,6 +44,8 @@ REGISTERS = BANDS * ROWS
 #: shingles handled at once: bounds a worker's memory
 BATCH_SHINGLES = 300_000
 KEPT_WORDS = 100_000
+#: bytes of text signed before their bands are handed on
+BATCH_BYTES = 1 << 22
 #: a shingle that at most so many texts hold brings each two of them together; parts the candidates, drops none
 RARE = 16
 
@@ -135,7 +137,7 @@ def bands(texts: list[str]) -> list[np.ndarray | None]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches, 1, BATCH_BYTES):
         yield pa.RecordBatch.from_arrays(
             [rows.column(0).cast(pa.binary()), pa.array(bands(rows.column(1).to_pylist()), pa.list_(pa.int64()))], names=["key", "bands"]
         )
@@ -143,6 +145,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _buckets(docs: DataFrame) -> DataFrame:
     """bucket, key, n (texts in the bucket) for all buckets of two different texts or more."""
+    send_code(docs.sparkSession)
     texts = docs.select(text_or_empty().alias("text")).filter("text != ''")
     signed = texts.select(text_digest(F.col("text")).alias("key"), "text").mapInArrow(_signed, "key binary, bands array<long>")
     members = stored(signed.groupBy("key").agg(F.first("bands").alias("bands")).filter("bands IS NOT NULL"), "signatures").select(
@@ -290,9 +293,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one row of each class: the least doc_id, then the least text key."""
     placed = stored(class_of(docs), "classes")
     stay = placed.groupBy("class_key").agg(F.min(F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), "key")).alias("s"))
-    stay = stay.select(F.col("s.key").alias("__key"), F.col("s.id").alias("__id"))
+    keys = [free_name(docs, "text_key"), free_name(docs, "number")]
+    stay = stay.select(F.col("s.key").alias(keys[0]), F.col("s.id").alias(keys[1]))
     number, digest = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), text_digest(text_or_empty())
-    with_text = docs.filter(text_or_empty() != "").withColumns({"__key": digest, "__id": number})
+    with_text = docs.filter(text_or_empty() != "").withColumns(dict(zip(keys, (digest, number), strict=True)))
     # rows that repeat a document wholly
-    kept = with_text.join(stay, ["__key", "__id"], "left_semi").dropDuplicates(["__key", "__id"])
+    kept = with_text.join(stay, keys, "left_semi").dropDuplicates(keys)
     return kept.select(docs.columns).union(docs.filter(text_or_empty() == ""))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import send_code, text_or_empty
 from tidemark.llm.pieces import coder
 
 WINDOW = 2048
@@ -113,6 +113,7 @@ class _Packer:
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece: where it comes from (``doc_id``, ``start``, ``length``) and where it lies
     (``sequence_id``, ``offset``). ``tokenizer`` is a word tokenizer's file on every machine."""
+    send_code(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
     fields = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = pa.schema([(f, pa.int64()) for f in fields])

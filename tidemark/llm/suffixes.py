@@ -6,17 +6,18 @@ position of every text is assigned to its anchor, anchors that occur once anywhe
 repeat nowhere), and only positions of repeated anchors are looked at. Consecutive positions with one anchor are a run; the
 bytes that its strings cover are its context.
 
-1. Runs whose whole context occurs again at the same anchor are repeats; this only compares hashes.
+1. Runs whose whole context occurs again at the same anchor are repeats: the polynomial hashes of anchor and context and an independent digest of the
+   context's bytes have to agree.
 2. Of the other runs of an anchor, together with one run for each repeated context, the context bytes are fetched. They are
    sorted forwards from the anchor and backwards from it by mergesort. Suffixes are compared through prefix polynomial
    hashes: binary search finds the length of the common start in logarithmic time, the byte after it decides. Neighbours'
    common lengths are checked byte by byte, and a group with a collision is sorted by its bytes instead. Strings
    that agree far enough on both sides of the anchor are repeats.
-3. Anchors with more than ``HOT`` different contexts are not sorted in one task: the hashes of their strings are
-   counted by Spark, with map-side sums.
+3. Anchors with more than ``HOT`` different contexts are not sorted in one task: their strings are counted by Spark, with map-side sums, by
+   their polynomial hash and an independent digest of their bytes.
 
 Hashes are 64-bit polynomials with odd multipliers (prefix sums of byte codes times powers); an anchor and
-its context use different codes, so equality in step 1 rests on 128 bits.
+its context use different codes. Equality in step 1 rests on 192 bits, in step 3 on the anchor's 64 and 128 more; of these 64 are no polynomial.
 
 Defined cases: null text is empty. Texts shorter than ``LENGTH`` have no repeats and are nobody's. Equal texts of at least that
 length are removed wholly. Null ids stay null; repeated rows are copies of each other. An empty table gives an empty
@@ -29,12 +30,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import distinct_texts, stored, text_digest, text_or_empty
+from tidemark.llm.common import distinct_texts, free_name, send_code, slices, stored, text_digest, text_or_empty
 
 LENGTH = 200
 ANCHOR = 40
@@ -44,6 +45,8 @@ STRETCH = 1 << 19
 HOT = 10_000
 #: contexts sorted at once
 BATCH = 8_000
+#: bytes of text cut before their rows are handed on
+BATCH_BYTES = 1 << 22
 
 _RANDOM = np.random.default_rng(20240229)
 _CODES = _RANDOM.integers(1, 2**63, (2, 256), dtype=np.uint64)
@@ -109,23 +112,32 @@ def runs(data: bytes) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def _digests(data: bytes, starts: list[int], stops: list[int]) -> np.ndarray:
+    """Digest of each stretch, of another kind than the polynomial hashes: what is structured in one is not in the other."""
+    view = memoryview(data)
+    return np.array([xxhash.xxh3_64_intdigest(view[i:j]) for i, j in zip(starts, stops, strict=True)], np.uint64).view(np.int64)
+
+
 def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per run; ``place`` holds the first position, and behind it the run's length and its way to the anchor."""
+    """One row per run; ``place`` holds the first position, and behind it the run's length and its way to the anchor, ``proof`` is a digest of the
+    context's bytes."""
     for rows in batches:
         keys, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
         held: list[tuple] = []
         size = 0
         for i, (key, text) in enumerate(zip(keys, texts, strict=True)):
-            anchor, context, first, last, at = runs(text.encode("utf-8", "replace"))
-            held.append(([key] * len(anchor), anchor.view(np.int64), context.view(np.int64), first << 16 | (last - first) << 8 | (at - first)))
+            data = text.encode("utf-8", "replace")
+            anchor, context, first, last, at = runs(data)
+            proof = _digests(data, first.tolist(), (last + LENGTH).tolist())
+            held.append(([key] * len(anchor), anchor.view(np.int64), context.view(np.int64), first << 16 | (last - first) << 8 | (at - first), proof))
             size += len(anchor)
             if size >= 200_000 or i == len(keys) - 1:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k for h in held for k in h[0]], pa.binary()),
-                        *(pa.array(np.concatenate([h[j] for h in held])) for j in (1, 2, 3)),
+                        *(pa.array(np.concatenate([h[j] for h in held])) for j in (1, 2, 3, 4)),
                     ],
-                    names=["key", "anchor", "context", "place"],
+                    names=["key", "anchor", "context", "place", "proof"],
                 )
                 held, size = [], 0
 
@@ -303,10 +315,8 @@ def _hash_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             values = np.frombuffer(data, np.uint8)
             count = (place >> 8 & 255) + 1
             at = np.arange(count)
-            hashes = []
-            for which in (0, 1):
-                sums, inverse = _prefix(values, which)
-                hashes.append(_mix((sums[at + LENGTH] - sums[at]) * inverse[at]).view(np.int64))
+            sums, inverse = _prefix(values, 0)
+            hashes = [_mix((sums[at + LENGTH] - sums[at]) * inverse[at]).view(np.int64), _digests(data, at.tolist(), (at + LENGTH).tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key] * count, pa.binary()), pa.array([anchor] * count, pa.int64()), pa.array((place >> 16) + at),
                  pa.array([known] * count, pa.bool_()), pa.array(hashes[0]), pa.array(hashes[1])],
@@ -316,21 +326,23 @@ def _hash_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def repeats(docs: DataFrame) -> DataFrame:
     """key (of a text), start, stop: bytes covered by repeated strings; spans may overlap."""
+    send_code(docs.sparkSession)
     texts = docs.select(text_or_empty().alias("text")).filter(F.octet_length("text") >= LENGTH)
-    found = texts.select(text_digest(F.col("text")).alias("key"), "text").mapInArrow(
-        _emit_runs, "key binary, anchor long, context long, place long"
+    # used twice: written, as the runs of a text cost far more to find than to read
+    found = stored(
+        texts.select(text_digest(F.col("text")).alias("key"), "text").mapInArrow(_emit_runs, "key binary, anchor long, context long, place long, proof long"), "found"
     )
     # sums are written before they are joined: a join right above an aggregate cannot split a hot key
     again = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "again")
     candidates = stored(found.join(again, "anchor"), "runs")
 
     contexts = stored(
-        candidates.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")), "contexts"
+        candidates.groupBy("anchor", "context", "proof").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("one")), "contexts"
     )
-    whole = contexts.filter("n > 1").select("anchor", "context")
+    whole = contexts.filter("n > 1").select("anchor", "context", "proof")
     first = F.shiftright("place", 16)
     covered = (
-        candidates.join(whole, ["anchor", "context"])
+        candidates.join(whole, ["anchor", "context", "proof"])
         .select("key", first.alias("start"), (first + F.shiftright("place", 8).bitwiseAND(255) + LENGTH).alias("stop"))
         .distinct()
     )
@@ -385,11 +397,13 @@ def _kept(data: bytes, spans: list[list[int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__spans``: array of start and stop, or null."""
-    spans = stored(repeats(docs), "repeats").distinct().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
-    keyed = docs.withColumn("__key", text_digest(text_or_empty()))
-    return keyed.join(spans.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+def with_spans(docs: DataFrame, name: str = "__spans") -> DataFrame:
+    """``docs`` with a column of start and stop pairs, null where nothing repeats; ``name`` is free in ``docs``."""
+    key = free_name(docs, "text_key")
+    spans = stored(repeats(docs), "repeats").distinct().groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("start", "stop")).alias(name))
+    # written before they are joined, so that the copies of one text can be split over tasks
+    spans = stored(spans, "spans")
+    return docs.withColumn(key, text_digest(text_or_empty())).join(spans, key, "left").select(*docs.columns, name)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -417,14 +431,22 @@ def report(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without the repeated bytes; what is left of a cut character goes too. Documents of which
-    nothing but white space is left are dropped, untouched ones stay as they are."""
+    nothing but white space is left are dropped, untouched ones stay as they are.
 
+    One pass reads every row once.
+    """
+    name, columns = free_name(docs, "spans"), docs.columns
+    at = columns.index(docs.schema["text"].name)
 
-    @F.pandas_udf("string")
-    def cut_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return texts.combine(spans, lambda t, s: _kept(t.encode("utf-8", "replace"), merged(s)).decode("utf-8", "ignore"))
-
-    cut = with_spans(docs)
-    touched = cut.filter("__spans IS NOT NULL").withColumn("text", cut_text("text", "__spans")).filter("trim(text) != ''")
-    rest = cut.filter("__spans IS NULL")
-    return rest.union(touched).select(docs.columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, at, BATCH_BYTES):
+            texts, keep = rows.column(at).to_pylist(), []
+            for i, spans in enumerate(rows.column(len(columns)).to_pylist()):
+                if spans is not None:
+                    texts[i] = _kept(texts[i].encode("utf-8", "replace"), merged(spans)).decode("utf-8", "ignore")
+                keep.append(spans is None or bool(texts[i].strip()))
+            cut = rows.columns[:-1]
+            cut[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cut, names=columns).filter(pa.array(keep, pa.bool_()))
+
+    return with_spans(docs, name).mapInArrow(run, docs.schema)
