@@ -9,8 +9,7 @@ shorter) ``SHARE`` or more are equal.
 The seeds lose none of these: the masks of each item length are chosen so that wherever the words lie that may differ, one mask
 fits between them (a test enumerates all patterns). Masks begin and end with a picked word, so a stretch that
 agrees lies inside the text. Items of up to four words have to be equal and are hashed whole. Texts are hashed under the masks of
-those lengths only that the items have. ``SQL`` retrieves by three other masks of nine words, which lose some of the patterns and all
-items of fewer than nine words.
+those lengths only that the items have. ``SQL`` states the rule over all lines, without seeds.
 
 The test side is broadcast only while it has at most ``BROADCAST_SEEDS`` seeds; beyond that both sides are
 shuffled by hash. Hits are reduced map-side to one row per text, item and line before they move.
@@ -148,45 +147,30 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(held, (a == F.col(own[0])) & (b == F.col(own[1])), "left_anti")
 
 
-# Fixed values of the SQL: six of nine words each.
-SQL_MASKS = ("110101011", "101110011", "111001101")
-SPAN = len(SQL_MASKS[0])
-
-
-def _sql_seeds(table: str, keep: str) -> str:
-    parts = []
-    for n, mask in enumerate(SQL_MASKS):
-        picked = " || ' ' || ".join(f"w[p + {i + 1}]" for i, c in enumerate(mask) if c == "1")
-        parts.append(
-            f"SELECT {keep}, p AS place, '{n} ' || {picked} AS seed "
-            f"FROM (SELECT {keep}, w, unnest(range(len(w) - {SPAN - 1})) AS p FROM {table} WHERE len(w) >= {SPAN})"
-        )
-    return " UNION ALL ".join(parts)
-
-
+#: the rule over all lines, without seeds: words that are equal make the lines, those with enough of them are laid out
 SQL = rf"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
   FROM documents
 ), b AS (
-  SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
-), ds AS ({_sql_seeds("d", "doc_id")}
-), bs AS ({_sql_seeds("b", "item_id")}
-), c AS (
-  SELECT DISTINCT doc_id, item_id, ds.place - bs.place AS line FROM ds JOIN bs USING (seed)
-), e AS (
-  SELECT c.doc_id, c.item_id, c.line, i, least(len(b.w), {OVERLAP}) AS n_compared, len(b.w) AS n,
-         CASE WHEN c.line + i >= 0 AND d.w[c.line + i + 1] = b.w[i + 1] THEN 1 ELSE 0 END AS equal
-  FROM c JOIN d ON d.doc_id = c.doc_id JOIN b ON b.item_id = c.item_id, unnest(range(len(b.w))) AS u(i)
+  SELECT item_id, w, row_number() OVER () AS item, len(w) AS n, least(len(w), {OVERLAP}) AS n_compared FROM (
+    SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+  )
+), dw AS (
+  SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) u(p)
+), bw AS (
+  SELECT item, item_id, n, n_compared, i, w[i] AS word FROM b, unnest(range(1, len(w) + 1)) u(i)
+), lines AS (
+  SELECT doc_id, item, item_id, n, n_compared, p - i AS line, list(i) AS places
+  FROM dw JOIN bw USING (word) GROUP BY ALL HAVING count(*) >= ceil(n_compared * {SHARE})
 ), s AS (
-  SELECT doc_id, item_id, line, i, n, n_compared,
-         sum(equal) OVER (PARTITION BY doc_id, item_id, line, n ORDER BY i ROWS BETWEEN CURRENT ROW AND {OVERLAP - 1} FOLLOWING) AS n_equal
-  FROM e
+  SELECT doc_id, item_id, n_compared, line + first AS first_word,
+    len(list_filter(places, lambda i: i > first AND i <= first + n_compared)) AS n_equal
+  FROM lines, unnest(range(n - n_compared + 1)) u(first)
 ), v AS (
-  SELECT doc_id, item_id, n_compared, n_equal, line + i AS first_word,
-         row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, line + i) AS r
-  FROM s WHERE i <= n - n_compared AND n_equal >= ceil(n_compared * {SHARE})
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, first_word) AS r
+  FROM s WHERE n_equal >= ceil(n_compared * {SHARE})
 )
 SELECT doc_id, item_id, CAST(n_equal AS INTEGER) AS n_equal, CAST(n_compared AS INTEGER) AS n_compared,
        CAST(first_word AS INTEGER) AS first_word
