@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +37,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: what Python workers keep between tasks, by operator: how to drop it
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, drop: Callable[[], None]) -> None:
+    """Tells how to drop what a worker keeps for an operator."""
+    _KEPT[operator] = drop
+
+
+def only(operator: str) -> None:
+    """Drops what this worker keeps for other operators: Spark gives a worker of one stage to the next one."""
+    for other, drop in _KEPT.items():
+        if other != operator:
+            drop()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

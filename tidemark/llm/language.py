@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import free_name, send_code, slices, text_or_empty
+from tidemark.llm.common import only, send_code, slices, text_or_empty
 
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 1500
@@ -235,17 +235,18 @@ def label(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
     """
     send_code(docs.sparkSession)
     kind, names = docs.schema["lang"].dataType, docs.columns
-    text, at = free_name(docs, "text_to_label"), names.index(docs.schema["lang"].name)
+    text, at = names.index(docs.schema["text"].name), names.index(docs.schema["lang"].name)
     fields = [T.StructField("lang", T.StringType()) if i == at else f for i, f in enumerate(docs.schema.fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, len(names), BATCH_BYTES):
-            texts = rows.column(len(names)).to_pylist()
+        only("language")
+        for rows in slices(batches, text, BATCH_BYTES):
+            texts = rows.column(text).to_pylist()
             found = _texts_to_scores(model, texts) if model else [(UNKNOWN, 0.0)] * len(texts)
-            columns = rows.columns[:-1]
+            columns = list(rows.columns)
             columns[at] = pa.array([f[0] for f in found], pa.string())
             known = pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(known)
 
-    kept = docs.withColumn(text, text_or_empty()).mapInArrow(run, T.StructType(fields))
+    kept = docs.mapInArrow(run, T.StructType(fields))
     return kept.withColumn(names[at], F.col(names[at]).cast(kind))

@@ -35,14 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SHINGLE_WORDS, SIMILAR, distinct_texts, free_name, send_code, slices, stored, text_digest, text_or_empty
+from tidemark.llm.common import SHINGLE_WORDS, SIMILAR, distinct_texts, free_name, keeps, only, send_code, slices, stored, text_digest, text_or_empty
 from tidemark.llm.components import components
 
 BANDS = 32
 ROWS = 6
 REGISTERS = BANDS * ROWS
 #: shingles handled at once: bounds a worker's memory
-BATCH_SHINGLES = 300_000
+BATCH_SHINGLES = 100_000
 KEPT_WORDS = 100_000
 #: bytes of text signed before their bands are handed on
 BATCH_BYTES = 1 << 22
@@ -136,7 +136,16 @@ def bands(texts: list[str]) -> list[np.ndarray | None]:
     return result
 
 
+def _drop_kept() -> None:
+    _HASHES.clear()
+    _set.cache_clear()
+
+
+keeps("near copies", _drop_kept)
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only("near copies")
     for rows in slices(batches, 1, BATCH_BYTES):
         yield pa.RecordBatch.from_arrays(
             [rows.column(0).cast(pa.binary()), pa.array(bands(rows.column(1).to_pylist()), pa.list_(pa.int64()))], names=["key", "bands"]
@@ -171,7 +180,8 @@ def likeness(a: str, b: str) -> float:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    only("near copies")
+    for rows in slices(batches, 2, BATCH_BYTES):
         alike = [likeness(a, b) >= SIMILAR for a, b in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)]
         kept = rows.filter(pa.array(alike, pa.bool_()))
         yield pa.RecordBatch.from_arrays([kept.column(0).cast(pa.binary()), kept.column(1).cast(pa.binary())], names=["u", "v"])
@@ -231,7 +241,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _emit_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
+    for rows in slices(batches, 1, BATCH_BYTES):
         for key, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
             found = np.unique(shingles(text)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.binary()), pa.array(found)], names=["key", "shingle"])

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import send_code, text_or_empty
+from tidemark.llm.common import send_code, slices, text_or_empty
 from tidemark.llm.pieces import coder
 
 WINDOW = 2048
@@ -35,6 +35,8 @@ END_ID = 1
 PIECE = WINDOW // 4
 GROUP_WINDOWS = 48
 FILL = 0.985
+#: bytes of text coded before their pieces are handed on
+BATCH_BYTES = 1 << 22
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -125,7 +127,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(tokenizer, "words").encode
         packer = _Packer(TaskContext.get().partitionId(), window)
-        for rows in batches:
+        for rows in slices(batches, 1, BATCH_BYTES):
             for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 packer.add(doc_id, code(text) + end)
             if done := packer.take():

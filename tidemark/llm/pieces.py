@@ -13,6 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from tidemark.llm.common import keeps, only
+
 #: a worker keeps the ids of so many pieces and codes all others each time: bounds its memory
 KEPT_PIECES = 500_000
 
@@ -85,5 +87,14 @@ class PieceCoder:
 
 
 @lru_cache(maxsize=4)
-def coder(path: str, kind: str) -> PieceCoder:
+def _coder(path: str, kind: str) -> PieceCoder:
     return PieceCoder(path, kind)
+
+
+keeps("pieces", _coder.cache_clear)
+
+
+def coder(path: str, kind: str) -> PieceCoder:
+    """The worker's coder; what it kept for other operators goes."""
+    only("pieces")
+    return _coder(path, kind)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import distinct_texts, free_name, send_code, slices, stored, text_digest, text_or_empty
+from tidemark.llm.common import distinct_texts, free_name, keeps, only, send_code, slices, stored, text_digest, text_or_empty
 
 LENGTH = 200
 ANCHOR = 40
@@ -52,6 +52,7 @@ _RANDOM = np.random.default_rng(20240229)
 _CODES = _RANDOM.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15 | 5, 0xD1342543DE82EF95 | 5)
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
+keeps("repeats", _POWERS.clear)
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -121,7 +122,8 @@ def _digests(data: bytes, starts: list[int], stops: list[int]) -> np.ndarray:
 def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per run; ``place`` holds the first position, and behind it the run's length and its way to the anchor, ``proof`` is a digest of the
     context's bytes."""
-    for rows in batches:
+    only("repeats")
+    for rows in slices(batches, 1, BATCH_BYTES):
         keys, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
         held: list[tuple] = []
         size = 0
