@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import send_code, stored, text_or_empty
 
 # What a word is, which letters are lowered, and which runs lose a letter.
-RUN = "[A-Za-zÀ-ÿ]+"
+LETTER = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMAGED = 199
 LEAST_LENGTH = 6
@@ -48,13 +48,14 @@ LONG_LIST = 400
 def word_counts(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
     """``word`` and how often it occurs (``n``), after the damage that the hash of id and run decides."""
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id")
-    run = F.explode(F.regexp_extract_all(text_or_empty(), F.lit(RUN), F.lit(0))).alias("run")
+    # a run of at least so many letters is matched whole; shorter ones cannot become words and are passed over
+    pattern = f"{LETTER}{{{least_length},}}"
+    run = F.explode(F.regexp_extract_all(text_or_empty(), F.lit(pattern), F.lit(0))).alias("run")
     runs = docs.select(doc_id, run).select("doc_id", F.translate("run", UPPER, LOWER).alias("run"))
     hash_ = F.crc32(F.concat("doc_id", F.lit(":"), "run").cast("binary"))
     place = (hash_ % F.length("run")).cast("int")
     cut = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
-    long_enough = runs.filter(F.length("run") >= least_length)
-    words = long_enough.select(F.when(hash_ % DAMAGED == 0, cut).otherwise(F.col("run")).alias("word"))
+    words = runs.select(F.when(hash_ % DAMAGED == 0, cut).otherwise(F.col("run")).alias("word"))
     counted = words.filter(F.length("word") >= least_length).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counted.filter(F.col("n") >= least_count)
 
