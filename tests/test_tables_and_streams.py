@@ -127,6 +127,22 @@ def test_bus_needs_its_connector(spark):
         W.publish_messages(messages, "host:9092", "segments")
 
 
+def test_one_landed_file_feeds_several_tasks(spark):
+    import pyarrow.parquet as pq
+    from tidemark.workload.streams import _land
+
+    bus = scratch_path(spark, "bus")
+    text = F.concat(*[F.sha2(F.concat(F.col("id"), F.lit(f"|{i}")), 256) for i in range(8)])
+    _land(spark.range(80_000, numPartitions=1).select(text.alias("value")), bus)
+    files = list(Path(bus).glob("*.parquet"))
+    assert len(files) == 1 and pq.ParquetFile(files[0]).num_row_groups > 1
+
+
+def test_messages_format_a_moment_once(spark, data):
+    plan = I.change_messages(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format(") == 3
+
+
 @pytest.mark.parametrize("name", ["stream_log_restart", "stream_deduplicated", "stream_entities", "stream_quarantine", "stream_event_rate"])
 def test_streams_end_where_batches_end(spark, data, name):
     check(spark, data, name)
