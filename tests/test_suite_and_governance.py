@@ -106,3 +106,10 @@ def test_fields_are_numbered_over_ranges(spark):
     profile = spark.range(300).select(F.concat(F.lit("f"), F.lpad((F.col("id") % 90).cast("string"), 3, "0")).alias("field"))
     assert [r.field for r in V.observed_fields(profile).orderBy("position").collect()] == [f"f{i:03}" for i in range(90)]
     assert V.observed_fields(profile.limit(0)).count() == 0
+
+
+def test_reconciliation_reads_the_stored_log(spark, data):
+    from tidemark.workload import ALL
+
+    plan = ALL["layer_reconciliation"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "jsonObjectKeys" not in plan
