@@ -85,6 +85,32 @@ def test_composite_key(spark):
     assert got == ["1|x", "1|2", None]
 
 
+def test_values_are_looked_up_once(spark):
+    opened = E.open_envelope(messages(spark, (USERS, None, INSERT)))
+    plan = opened.select("ordering_key", "entity_key")._jdf.queryExecution().optimizedPlan().toString()
+    # the position, the time where there is none, and each key in the row image and the message key
+    assert plan.count("$.lsn)") == 1 and plan.count("get_json_object") == 2 + 2 * 3
+
+
+@pytest.mark.parametrize(
+    "after,head",
+    [
+        ({"updated_at": 2024}, "ts_00000000000000002024"),
+        ({"updated_at": "2024"}, "ts_2024"),
+        ({"updated_at": -7.5}, "ts_-0000000000000000007"),
+        ({"updated_at": 20240116}, "ts_00000000000020240116"),
+        ({"updated_at": "2024-01-16T00:00:00.123456789Z"}, "ts_2024-01-16T00:00:00.123456"),
+        ({"updated_at": None}, "ts_0"),
+        ({}, "ts_0"),
+    ],
+)
+def test_keys_of_times_and_numbers(spark, after, head):
+    opened = E.open_envelope(messages(spark, (USERS, None, changed(INSERT, source={}, after=after))))
+    assert opened.first()["ordering_key"] == f"{head}|p000000|o00000000000000000001"
+    texts = [F.lit("{}"), F.lit(json.dumps(after)), F.lit(0), F.lit(1)]
+    assert spark.range(1).select(E.ordering_key(*texts)).first()[0] == opened.first()["ordering_key"]
+
+
 def test_valid_events_have_no_violation(spark):
     assert problems(spark, (USERS, None, INSERT), (ORDERS, None, DELETE), field_rules=True) == [[], []]
 
