@@ -24,7 +24,7 @@ def _at():
 
 def _land(messages, path):
     # small row groups: a batch of few files is still read by all tasks
-    messages.write.mode("append").option("parquet.block.size", 16 << 20).parquet(path)
+    messages.write.mode("append").option("parquet.block.size", 4 << 20).parquet(path)
 
 
 def _log_append(s, d):
